@@ -11,6 +11,7 @@ from roadbed.operators.joins import band_join, near_places, update_from
 from roadbed.operators.lines import place_on_lines
 from roadbed.operators.ordering import OrderedGroups
 from roadbed.schema import Profile
+from roadbed.session import stage
 
 LINK = ["file_name", "date", "link_id"]
 GAP = [*LINK, "gap_start", "gap_end", "c_p"]
@@ -135,7 +136,8 @@ def gap_positions(
     points: DataFrame, gaps: DataFrame, cfg: Profile = Profile(), max_rows: int | None = None
 ) -> DataFrame:
     """Interpolated position for every gap point that has anchors on both sides."""
-    vertices = gap_vertices(points, gaps, cfg)
+    # read by the spans, the size check and the segments: join once
+    vertices = stage(gap_vertices(points, gaps, cfg), "gap-vertices")
     span = F.col("chainage_end") - F.col("chainage_str")
     targets = (
         gaps.join(gap_spans(vertices), GAP)
@@ -226,7 +228,10 @@ def snap_positions(
         .select("file_name", F.col("chainage").alias("m"), "lon", "lat")
         .distinct()
     )
-    vertices = band_join(fixes, chainages, "m", "at", "at", bucket=cfg.bucket, pad=cfg.spacing)
+    vertices = stage(
+        band_join(fixes, chainages, "m", "at", "at", bucket=cfg.bucket, pad=cfg.spacing),
+        "snap-vertices",
+    )
     by = ["file_name", "at"]
     span = F.col("last") - F.col("first")
     targets = (

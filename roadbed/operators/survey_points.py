@@ -10,6 +10,7 @@ from roadbed.functions.numbers import bround_int, capped
 from roadbed.functions.predicates import inside_event, on_grid
 from roadbed.operators.ordering import OrderedGroups, with_row_id
 from roadbed.schema import METRICS, Profile
+from roadbed.session import stage
 
 LINK = ["file_name", "date", "link_id"]
 
@@ -102,7 +103,8 @@ def build_survey_point_local(
     attributes = survey.select(
         *LINK, "survey_id", "survey_code", "run_code", "lane_group", F.col("km_start").alias("km0")
     )
-    joined = rows.join(attributes, LINK, "left")
+    # numbered twice and sorted for ids below: join once
+    joined = stage(rows.join(attributes, LINK, "left"), "grid-rows")
     order = ["chainage", "lon", "lat", *METRICS]
     in_link = OrderedGroups(joined, LINK, [*order, "survey_id"], max_rows).row_number("n_link")
     in_survey = OrderedGroups(in_link.to_df(), [*LINK, "survey_id"], order, max_rows)
