@@ -244,7 +244,9 @@ def snap_positions(
             ),
         )
     )
-    return place_on_lines(targets, vertices, by, max_rows=max_rows).drop("fraction")
+    placed = place_on_lines(targets, vertices, by, max_rows=max_rows).drop("fraction")
+    # looked up for starts and again for ends
+    return stage(placed, "snap-positions")
 
 
 def _move(points: DataFrame, positions: DataFrame, which: str) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadbed.session import stage
+
 
 def _column(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -48,25 +50,30 @@ def band_join(
 
 
 _CELL = ("__cx", "__cy")
+#: cell size in radii: large cells are touched once by most places
+_CELL_RADII = 8
+#: positions of one cell that go to one task
+_CROWD = 50_000
 
 
-def _cells(df: DataFrame, lon: str, lat: str, size: float) -> DataFrame:
-    return df.withColumns(
-        {
-            "__cx": F.floor(F.col(lon) / size).cast("bigint"),
-            "__cy": F.floor(F.col(lat) / size).cast("bigint"),
-        }
-    )
+def _cell(value: Column, size: float) -> Column:
+    return F.floor(value / F.lit(size)).cast("bigint")
 
 
-def _around(df: DataFrame, lon: str, lat: str, size: float) -> DataFrame:
-    """One row per cell of the 3 x 3 block around a position."""
-    steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    return (
-        _cells(df, lon, lat, size)
-        .withColumn("__cx", F.explode(F.transform(steps, lambda d: F.col("__cx") + d)))
-        .withColumn("__cy", F.explode(F.transform(steps, lambda d: F.col("__cy") + d)))
-    )
+def _in_cell(df: DataFrame, lon: str, lat: str, size: float) -> DataFrame:
+    return df.withColumns({"__cx": _cell(F.col(lon), size), "__cy": _cell(F.col(lat), size)})
+
+
+def _touching_cells(df: DataFrame, lon: str, lat: str, radius: float, size: float) -> DataFrame:
+    """One row per cell within ``radius`` of a position: 1 for most, 4 at worst."""
+    # a hair more than the radius, so that rounding cannot miss a cell
+    reach = F.lit(radius * 1.000001)
+
+    def cells(value: Column) -> Column:
+        return F.explode(F.sequence(_cell(value - reach, size), _cell(value + reach, size)))
+
+    placed = df.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+    return placed.withColumn("__cx", cells(F.col(lon))).withColumn("__cy", cells(F.col(lat)))
 
 
 def _close(lon: str, lat: str, other_lon: str, other_lat: str, radius: float) -> Column:
@@ -84,11 +91,12 @@ def distance_join(
 ) -> DataFrame:
     """Pairs of places and points no further apart than ``radius`` (planar).
 
-    ``places`` is the smaller side: it is listed in the 3 x 3 grid cells around
-    it, a point only in its own, so a pair meets once.
+    ``places`` is the smaller side: it is listed in every grid cell it reaches
+    into, a point only in its own, so a pair meets once.
     """
-    left = _around(places, *place, radius)
-    right = _cells(points, *point, radius)
+    size = radius * _CELL_RADII
+    left = _touching_cells(places, *place, radius, size)
+    right = _in_cell(points, *point, size)
     pairs = left.join(right, [*by, *_CELL])
     return pairs.filter(_close(*place, *point, radius)).drop(*_CELL)
 
@@ -99,34 +107,46 @@ def near_places(
     radius: float,
     by: Sequence[str] = ("file_name",),
     other_chainage: bool = False,
-    salts: int = 8,
+    crowd: int = _CROWD,
 ) -> DataFrame:
     """Distinct ``places`` (lon, lat, chainage) with a measured point close by.
 
     Only existence is asked, so points are first reduced to one row per
     position with its smallest and largest chainage: repeated positions, such
-    as all lost ones at (0, 0), become one row before any shuffle. What is left
-    of a crowded cell is spread over ``salts`` tasks. The semi-join stops at
-    the first hit and emits no pairs.
+    as all lost ones at (0, 0), become one row before any shuffle. Cells that
+    still hold more than ``crowd`` positions are spread over several tasks. The
+    semi-join stops at the first hit and emits no pairs.
     """
-    by = list(by)
+    size, cell = radius * _CELL_RADII, [*by, *_CELL]
     positions = (
         points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
         .groupBy(*by, F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"))
         .agg(F.min("chainage").alias("p_min"), F.max("chainage").alias("p_max"))
     )
-    positions = _cells(positions, "p_lon", "p_lat", radius).withColumn(
-        "__salt", F.pmod(F.xxhash64("p_lon", "p_lat"), F.lit(salts)).cast("int")
-    )
-    left = _around(places.distinct(), "lon", "lat", radius).withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    on = [*by, *_CELL, "__salt"]
-    names = {c: f"p_{c}" for c in on}
-    right = positions.withColumnsRenamed(names)
+    # counted and joined: written once
+    right = stage(_in_cell(positions, "p_lon", "p_lat", size), "positions")
+    left = _touching_cells(places.distinct(), "lon", "lat", radius, size)
+    sizes = right.groupBy(*cell).agg(F.count("*").alias("n"))
+    on = cell
+    if (sizes.agg(F.max("n")).first()[0] or 0) > crowd:
+        on = [*cell, "__salt"]
+        # at most positions / crowd cells
+        crowded = F.broadcast(
+            sizes.filter(F.col("n") > crowd).select(
+                *cell, F.ceil(F.col("n") / crowd).cast("int").alias("__salts")
+            )
+        )
+        salts = F.coalesce("__salts", F.lit(1))
+        salt = F.pmod(F.xxhash64("p_lon", "p_lat"), salts).cast("int")
+        right = right.join(crowded, cell, "left").withColumn("__salt", salt).drop("__salts")
+        left = left.join(crowded, cell, "left").withColumn(
+            "__salt", F.explode(F.sequence(F.lit(0), salts - 1))
+        )
+        left = left.drop("__salts")
+    right = right.withColumnsRenamed({c: f"p_{c}" for c in on})
     condition = _close("lon", "lat", "p_lon", "p_lat", radius)
-    for column, renamed in names.items():
-        condition = condition & (F.col(column) == F.col(renamed))
+    for column in on:
+        condition = condition & (F.col(column) == F.col(f"p_{column}"))
     if other_chainage:
         chainage = F.col("chainage")
         condition = condition & ((F.col("p_min") != chainage) | (F.col("p_max") != chainage))

@@ -76,19 +76,22 @@ class OrderedGroups:
         keys: Sequence[str],
         order: Sequence[str],
         max_rows: int | None = None,
+        coarser: OrderedGroups | None = None,
     ):
+        """``coarser`` may name groups of fewer keys over the same rows: if none
+        of those is large, none of these can be, and nothing is counted."""
         self.keys, self.order = list(keys), list(order)
         self.max_rows = max_rows or MAX_GROUP_ROWS
+        self.small, self.large = df, None
+        if coarser is not None and coarser.large is None and set(coarser.keys) <= set(self.keys):
+            return
         names = [f"__k{i}" for i in range(len(self.keys))]
-        hot = (
-            df.groupBy(*[F.col(k).alias(n) for k, n in zip(self.keys, names)])
-            .agg(F.count("*").alias("n"))
-            .filter(F.col("n") > self.max_rows)
-            .select(*names)
+        sizes = df.groupBy(*[F.col(k).alias(n) for k, n in zip(self.keys, names)]).agg(
+            F.count("*").alias("n")
         )
-        if hot.isEmpty():
-            self.small, self.large = df, None
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= self.max_rows:
             return
+        hot = sizes.filter(F.col("n") > self.max_rows).select(*names)
         # at most rows / max_rows keys
         hot = F.broadcast(stage(hot, "large-groups"))
         match = same(df, hot, self.keys, names)

@@ -12,6 +12,7 @@ from roadbed.functions.predicates import has_positive_fix, inside_event, on_grid
 from roadbed.operators.lines import line_parts
 from roadbed.operators.ordering import OrderedGroups, same, with_row_id
 from roadbed.schema import Profile
+from roadbed.session import stage
 
 LINE = [
     "event_name", "link_id", "section_id", "km_start", "km_end",
@@ -95,7 +96,9 @@ def build_survey(
     ``the_geom`` is NULL for a line of more than one part; ``line_parts`` then
     counts them and ``survey_line_parts`` holds them all.
     """
-    numbered = numbered_vertices(survey_vertices(points, cfg), max_rows)
+    # measured, then numbered: join up the vertices once
+    vertices = stage(survey_vertices(points, cfg), "vertices")
+    numbered = numbered_vertices(vertices, max_rows)
     # two steps: bounded arrays first, then one row per line
     part = F.floor((F.col("vertex_no") - 1) / part_rows).cast("bigint")
     vertex = F.struct(F.col("chainage").alias("m"), "lon", "lat")
@@ -141,6 +144,8 @@ def build_survey(
     )
     start = cfg.survey_start_id if start_id is None else start_id
     order = ["chainage_str", "link_id", "file_name", "event_name", "section_id", "km_start", "km_end"]
+    # ids are given in range order, which samples its input first
+    described = stage(described, "lines")
     numbered_lines = with_row_id(described, order, start, "survey_id").drop("chainage_str")
     return numbered_lines.select("survey_id", *[c for c in numbered_lines.columns if c != "survey_id"])
 
