@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,26 @@ def ceil_to(value: Column, step: int = 5) -> Column:
     return (F.ceil(F.bround(value, 0) / step) * step).cast("bigint")
 
 
+def half(value: Column) -> Column:
+    """Half of a decimal, exact and without a division."""
+    return value * F.lit(Decimal("0.5"))
+
+
+def to_cents(value: Column) -> Column:
+    """A two-digit decimal as whole hundredths."""
+    return (value * 100).cast("bigint")
+
+
+def from_cents(cents: Column) -> Column:
+    return (cents.cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(8,2)")
+
+
+def divide_half_up(total: Column, divisor: int) -> Column:
+    """Whole-number quotient, halves away from zero; much faster than decimals."""
+    size = F.floor((F.abs(total) * 2 + divisor) / (2 * divisor))
+    return (F.signum(total.cast("double")) * size).cast("bigint")
+
+
 def km_to_int(km: Column) -> Column:
     """'12+345' -> 12345."""
     return F.replace(km, F.lit("+"), F.lit("")).cast("int")

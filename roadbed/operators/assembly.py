@@ -74,7 +74,7 @@ def capped_points(laser: DataFrame, cfg: Profile = Profile()) -> DataFrame:
         mode=cfg.cap_mode,
     )
     return capped.withColumn(
-        "iri", ((F.col("iri_right") + F.col("iri_left")) / 2).cast("decimal(9,3)")
+        "iri", numbers.half(F.col("iri_right") + F.col("iri_left")).cast("decimal(9,3)")
     )
 
 
@@ -86,7 +86,11 @@ def with_pictures(laser: DataFrame, pic: DataFrame) -> DataFrame:
 
 
 def points_in_events(
-    laser: DataFrame, key: DataFrame, pic: DataFrame, cfg: Profile = Profile()
+    laser: DataFrame,
+    key: DataFrame,
+    pic: DataFrame,
+    cfg: Profile = Profile(),
+    events: DataFrame | None = None,
 ) -> DataFrame:
     """Points with every pavement event whose rounded bounds hold them.
 
@@ -95,7 +99,7 @@ def points_in_events(
     points = with_pictures(capped_points(laser, cfg), pic)
     joined = band_join(
         points,
-        pavement_events(key),
+        pavement_events(key) if events is None else events,
         "chainage",
         numbers.bround_int(F.col("event_str")),
         numbers.bround_int(F.col("event_end")),
@@ -108,10 +112,15 @@ def points_in_events(
 def assemble_points(
     laser: DataFrame, key: DataFrame, pic: DataFrame, cfg: Profile = Profile()
 ) -> DataFrame:
-    """The conditioned point table, version 1: points × events × link status."""
-    points = points_in_events(laser, key, pic, cfg)
+    """The conditioned point table, version 1: points × events × link status.
+
+    The status is joined to the events, a tenth of the points, before these
+    meet the points: the wide point table is not shuffled again for it.
+    """
     status = link_status(laser, key, cfg).select(*LINK_KEYS, "status", "status_type")
-    return points.join(status, list(LINK_KEYS)).withColumn("gps_imputed", F.lit(False))
+    events = pavement_events(key).join(status, list(LINK_KEYS))
+    points = points_in_events(laser, key, pic, cfg, events)
+    return points.withColumn("gps_imputed", F.lit(False))
 
 
 def links_without_grid_points(points: DataFrame, laser: DataFrame, key: DataFrame) -> DataFrame:

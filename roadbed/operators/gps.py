@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadbed.functions.predicates import has_fix, has_north_fix, is_lost, is_pavement, on_grid
 from roadbed.operators.assembly import padded_band_join
-from roadbed.operators.joins import band_join, near_places, update_from
+from roadbed.operators.joins import band_join, distinct_positions, near_places, update_from
 from roadbed.operators.lines import place_on_lines
 from roadbed.operators.ordering import OrderedGroups
 from roadbed.schema import Profile
@@ -155,7 +155,12 @@ def repair_gps(
     Points whose fraction falls outside the line stay as they are; see
     ``unrepaired_points``. Repaired rows are flagged ``gps_imputed``.
     """
-    repaired = gap_positions(points, gaps, cfg, max_rows).select(
+    return move_points(points, gap_positions(points, gaps, cfg, max_rows))
+
+
+def move_points(points: DataFrame, positions: DataFrame) -> DataFrame:
+    """Give points the position found for them and flag them ``gps_imputed``."""
+    repaired = positions.select(
         *LINK,
         "chainage",
         F.col("new_lon").alias("lon"),
@@ -207,10 +212,15 @@ def measured_near_events(laser: DataFrame, key: DataFrame, cfg: Profile = Profil
     return padded_band_join(columns, events, cfg).select("file_name", "chainage", "lon", "lat")
 
 
+def track_positions(laser: DataFrame, key: DataFrame, cfg: Profile = Profile()) -> DataFrame:
+    """Distinct positions of the measured points near events."""
+    return distinct_positions(measured_near_events(laser, key, cfg))
+
+
 def snap_positions(
     endpoints: DataFrame,
     laser: DataFrame,
-    key: DataFrame,
+    track: DataFrame,
     cfg: Profile = Profile(),
     max_rows: int | None = None,
 ) -> DataFrame:
@@ -219,9 +229,7 @@ def snap_positions(
     Only ends with a measured point of other chainage close by are moved.
     """
     ends = endpoints.select("file_name", "chainage", "lon", "lat").distinct()
-    near = near_places(
-        ends, measured_near_events(laser, key, cfg), cfg.snap_radius, other_chainage=True
-    )
+    near = near_places(ends, track, cfg.snap_radius, other_chainage=True)
     chainages = near.select("file_name", F.col("chainage").alias("at")).distinct()
     fixes = (
         laser.filter(has_fix(F.col("lon"), F.col("lat")))
@@ -249,15 +257,26 @@ def snap_positions(
     return stage(placed, "snap-positions")
 
 
-def _move(points: DataFrame, positions: DataFrame, which: str) -> DataFrame:
-    moved = positions.select(
-        "file_name",
-        F.col("at").alias(f"event_{which}"),
-        F.col("new_lon").alias(f"lon_{which}"),
-        F.col("new_lat").alias(f"lat_{which}"),
-    )
-    on = ["file_name", f"event_{which}"]
-    return update_from(points, moved, on, [f"lon_{which}", f"lat_{which}"])
+def _moved_events(points: DataFrame, starts: DataFrame, ends: DataFrame) -> DataFrame:
+    """Events with at least one moved end; NULL where an end stays."""
+    result = points.select("file_name", "event_str", "event_end").distinct()
+    for which, positions in (("str", starts), ("end", ends)):
+        moved = positions.select(
+            "file_name",
+            F.col("at").alias(f"event_{which}"),
+            F.col("new_lon").alias(f"new_lon_{which}"),
+            F.col("new_lat").alias(f"new_lat_{which}"),
+        )
+        result = result.join(moved, ["file_name", f"event_{which}"], "left")
+    return result.filter(F.col("new_lon_str").isNotNull() | F.col("new_lon_end").isNotNull())
+
+
+def _move_ends(points: DataFrame, events: DataFrame, which: list[str]) -> DataFrame:
+    joined = points.join(events, ["file_name", "event_str", "event_end"], "left")
+    changed = {
+        f"{c}_{w}": F.coalesce(f"new_{c}_{w}", f"{c}_{w}") for w in which for c in ("lon", "lat")
+    }
+    return joined.withColumns(changed).select(*points.columns)
 
 
 def snap_endpoints(
@@ -266,14 +285,19 @@ def snap_endpoints(
     key: DataFrame,
     cfg: Profile = Profile(),
     max_rows: int | None = None,
+    track: DataFrame | None = None,
 ) -> DataFrame:
     """Move event starts and ends onto the measured track.
 
     Both are moved by one set of positions; ``compat`` looks for the ends again
-    after the starts have moved.
+    after the starts have moved. New positions are brought together per event,
+    so that the points are joined once. ``track`` are the ``track_positions``,
+    if already at hand.
     """
-    positions = snap_positions(event_endpoints(points), laser, key, cfg, max_rows)
-    started = _move(points, positions, "str")
+    track = track_positions(laser, key, cfg) if track is None else track
+    starts = snap_positions(event_endpoints(points), laser, track, cfg, max_rows)
+    ends = starts
     if cfg.compat:
-        positions = snap_positions(event_endpoints(started), laser, key, cfg, max_rows)
-    return _move(started, positions, "end")
+        started = _move_ends(points, _moved_events(points, starts, starts), ["str"])
+        ends = snap_positions(event_endpoints(started), laser, track, cfg, max_rows)
+    return _move_ends(points, _moved_events(points, starts, ends), ["str", "end"])

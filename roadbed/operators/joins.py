@@ -101,9 +101,22 @@ def distance_join(
     return pairs.filter(_close(*place, *point, radius)).drop(*_CELL)
 
 
+def distinct_positions(points: DataFrame, by: Sequence[str] = ("file_name",)) -> DataFrame:
+    """One row per position with its smallest and largest chainage, written once.
+
+    Repeated positions, such as all lost ones at (0, 0), collapse before any
+    shuffle.
+    """
+    located = points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    positions = located.groupBy(
+        *by, F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat")
+    ).agg(F.min("chainage").alias("p_min"), F.max("chainage").alias("p_max"))
+    return stage(positions, "positions")
+
+
 def near_places(
     places: DataFrame,
-    points: DataFrame,
+    positions: DataFrame,
     radius: float,
     by: Sequence[str] = ("file_name",),
     other_chainage: bool = False,
@@ -111,20 +124,12 @@ def near_places(
 ) -> DataFrame:
     """Distinct ``places`` (lon, lat, chainage) with a measured point close by.
 
-    Only existence is asked, so points are first reduced to one row per
-    position with its smallest and largest chainage: repeated positions, such
-    as all lost ones at (0, 0), become one row before any shuffle. Cells that
-    still hold more than ``crowd`` positions are spread over several tasks. The
-    semi-join stops at the first hit and emits no pairs.
+    Only existence is asked, of ``distinct_positions``. Cells that hold more
+    than ``crowd`` of them are spread over several tasks. The semi-join stops
+    at the first hit and emits no pairs.
     """
     size, cell = radius * _CELL_RADII, [*by, *_CELL]
-    positions = (
-        points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
-        .groupBy(*by, F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"))
-        .agg(F.min("chainage").alias("p_min"), F.max("chainage").alias("p_max"))
-    )
-    # counted and joined: written once
-    right = stage(_in_cell(positions, "p_lon", "p_lat", size), "positions")
+    right = _in_cell(positions, "p_lon", "p_lat", size)
     left = _touching_cells(places.distinct(), "lon", "lat", radius, size)
     sizes = right.groupBy(*cell).agg(F.count("*").alias("n"))
     on = cell

@@ -67,6 +67,12 @@ def with_row_id(
     return numbered.withColumn(name, row.cast("bigint")).drop(place, part, "n_part", "n_before")
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the largest group; counted on the map side first."""
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
 class OrderedGroups:
     """Rows of ``df`` in ``order`` within ``keys``; see the module text."""
 
@@ -76,21 +82,22 @@ class OrderedGroups:
         keys: Sequence[str],
         order: Sequence[str],
         max_rows: int | None = None,
-        coarser: OrderedGroups | None = None,
+        largest: int | None = None,
     ):
-        """``coarser`` may name groups of fewer keys over the same rows: if none
-        of those is large, none of these can be, and nothing is counted."""
+        """``largest`` is the size of the largest group, or an upper bound of it
+        such as that of coarser groups, if already known; else it is counted."""
         self.keys, self.order = list(keys), list(order)
         self.max_rows = max_rows or MAX_GROUP_ROWS
         self.small, self.large = df, None
-        if coarser is not None and coarser.large is None and set(coarser.keys) <= set(self.keys):
+        self.largest = largest_group(df, self.keys) if largest is None else largest
+        if self.largest <= self.max_rows:
             return
+        # read by the count and by both halves of the split
+        df = stage(df, "grouped")
         names = [f"__k{i}" for i in range(len(self.keys))]
         sizes = df.groupBy(*[F.col(k).alias(n) for k, n in zip(self.keys, names)]).agg(
             F.count("*").alias("n")
         )
-        if (sizes.agg(F.max("n")).first()[0] or 0) <= self.max_rows:
-            return
         hot = sizes.filter(F.col("n") > self.max_rows).select(*names)
         # at most rows / max_rows keys
         hot = F.broadcast(stage(hot, "large-groups"))
@@ -103,7 +110,8 @@ class OrderedGroups:
 
     def _next(self, small: DataFrame, large: DataFrame | None) -> OrderedGroups:
         twin = object.__new__(OrderedGroups)
-        twin.keys, twin.order, twin.max_rows = self.keys, self.order, self.max_rows
+        twin.keys, twin.order = self.keys, self.order
+        twin.max_rows, twin.largest = self.max_rows, self.largest
         twin.small, twin.large = small, large
         return twin
 

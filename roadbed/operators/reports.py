@@ -11,7 +11,7 @@ from roadbed.functions.identifiers import lane_group
 from roadbed.functions.numbers import km_to_int
 from roadbed.functions.predicates import has_any_fix, on_grid
 from roadbed.operators.assembly import lost_counts
-from roadbed.operators.gps import event_endpoints, gap_anchors, measured_near_events
+from roadbed.operators.gps import event_endpoints, gap_anchors, track_positions
 from roadbed.operators.joins import near_places
 from roadbed.operators.ordering import same, with_row_id
 from roadbed.schema import Profile
@@ -36,15 +36,19 @@ def gps_lost(laser: DataFrame, key: DataFrame, cfg: Profile = Profile()) -> Data
 
 
 def endpoints_off_track(
-    points: DataFrame, laser: DataFrame, key: DataFrame, cfg: Profile = Profile()
+    points: DataFrame,
+    laser: DataFrame,
+    key: DataFrame,
+    cfg: Profile = Profile(),
+    track: DataFrame | None = None,
 ) -> DataFrame:
     """Event ends with no measured point close by."""
+    track = track_positions(laser, key, cfg) if track is None else track
     ends = event_endpoints(points)
     columns = ["file_name", "chainage", "lon", "lat"]
     names = [f"near_{c}" for c in columns]
-    near = near_places(
-        ends.select(*columns), measured_near_events(laser, key, cfg), cfg.snap_radius
-    ).withColumnsRenamed(dict(zip(columns, names)))
+    near = near_places(ends.select(*columns), track, cfg.snap_radius)
+    near = near.withColumnsRenamed(dict(zip(columns, names)))
     lonely = ends.join(near, same(ends, near, columns, names), "left_anti")
     return lonely.select(
         "file_name", "chainage", "direction", "event_name", "link_id", "lon", "lat"

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
+from roadbed.functions.numbers import divide_half_up, from_cents, to_cents
+from roadbed.functions.numbers import half as half_of
 from roadbed.operators.joins import update_from
 from roadbed.operators.ordering import OrderedGroups
 
@@ -26,12 +28,14 @@ def smooth_condition(
     denominator: str = "fixed",
     by_link: bool = False,
     max_rows: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Centred moving means of the condition values, rounded to two digits.
 
     iri and rutting become the mean of their two smoothed wheel paths. The sum
     is divided by the full frame also at the ends of a run (``"fixed"``) or by
-    the values really there (``"count"``). All sums share one sort.
+    the values really there (``"count"``). All sums share one sort. ``largest``
+    is the row count of the largest run (or link), if the caller knows it.
     """
     if denominator not in ("fixed", "count"):
         raise ValueError(f"unknown denominator: {denominator}")
@@ -44,22 +48,21 @@ def smooth_condition(
                 lambda w, v=value: F.count(v).over(w.rowsBetween(-half, half)).cast("decimal(9,0)")
             )
 
-    def divisor(c: str) -> Column:
-        return F.lit(size) if denominator == "fixed" else F.col(f"__n_{c}")
-
     def mean(c: str) -> Column:
-        return (F.col(f"__s_{c}") / divisor(c)).cast("decimal(8,2)")
+        if denominator == "fixed":
+            return from_cents(divide_half_up(to_cents(F.col(f"__s_{c}")), size))
+        return (F.col(f"__s_{c}") / F.col(f"__n_{c}")).cast("decimal(8,2)")
 
     def path_mean(left: str, right: str) -> Column:
         if denominator == "fixed":
             # one exact division: halves of a cent must not be rounded twice
-            total = F.col(f"__s_{left}") + F.col(f"__s_{right}")
-            return (total / (2 * size)).cast("decimal(8,2)")
+            total = to_cents(F.col(f"__s_{left}") + F.col(f"__s_{right}"))
+            return from_cents(divide_half_up(total, 2 * size))
         halves = [F.col(f"__s_{c}") / F.col(f"__n_{c}") for c in (left, right)]
         return ((halves[0] + halves[1]) / 2).cast("decimal(8,2)")
 
     keys = ["file_name", "link_id"] if by_link else ["file_name"]
-    framed = OrderedGroups(points, keys, _ORDER, max_rows).frames(sums, half, half).to_df()
+    framed = OrderedGroups(points, keys, _ORDER, max_rows, largest).frames(sums, half, half).to_df()
     changed = {c: mean(c) for c in _SMOOTHED}
     changed["iri"] = path_mean("iri_left", "iri_right").cast(points.schema["iri"].dataType)
     changed["rutting"] = path_mean("rutt_left", "rutt_right")
@@ -87,7 +90,7 @@ def interpolate_rutting(
         .to_df()
     )
     means = {
-        c: ((F.col(c) + F.col(f"other.{c}")) / 2).cast(laser.schema[c].dataType) for c in columns
+        c: half_of(F.col(c) + F.col(f"other.{c}")).cast(laser.schema[c].dataType) for c in columns
     }
     between = paired.select(
         "file_name",

@@ -78,9 +78,12 @@ def survey_line_parts(
     cfg: Profile = Profile(),
     part_rows: int = PART_ROWS,
     max_rows: int | None = None,
+    vertices: DataFrame | None = None,
 ) -> DataFrame:
     """The whole geometry of every line, in parts of bounded size."""
-    numbered = numbered_vertices(survey_vertices(points, cfg), max_rows)
+    if vertices is None:
+        vertices = stage(survey_vertices(points, cfg), "vertices")
+    numbered = numbered_vertices(vertices, max_rows)
     return line_parts(numbered, LINE, "vertex_no", part_rows)
 
 
@@ -90,6 +93,7 @@ def build_survey(
     start_id: int | None = None,
     part_rows: int = PART_ROWS,
     max_rows: int | None = None,
+    vertices: DataFrame | None = None,
 ) -> DataFrame:
     """The survey table, with file_name and event_name added as keys.
 
@@ -97,7 +101,8 @@ def build_survey(
     counts them and ``survey_line_parts`` holds them all.
     """
     # measured, then numbered: join up the vertices once
-    vertices = stage(survey_vertices(points, cfg), "vertices")
+    if vertices is None:
+        vertices = stage(survey_vertices(points, cfg), "vertices")
     numbered = numbered_vertices(vertices, max_rows)
     # two steps: bounded arrays first, then one row per line
     part = F.floor((F.col("vertex_no") - 1) / part_rows).cast("bigint")

@@ -107,7 +107,7 @@ def build_survey_point_local(
     joined = stage(rows.join(attributes, LINK, "left"), "grid-rows")
     order = ["chainage", "lon", "lat", *METRICS]
     in_link = OrderedGroups(joined, LINK, [*order, "survey_id"], max_rows).row_number("n_link")
-    in_survey = OrderedGroups(in_link.to_df(), [*LINK, "survey_id"], order, max_rows, in_link)
+    in_survey = OrderedGroups(in_link.to_df(), [*LINK, "survey_id"], order, max_rows, in_link.largest)
     metres = (F.col("n_survey") - 1) * F.lit(int(cfg.grid))
     km = (
         F.when(F.col("lane_group") > 0, F.col("km0") + metres)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from roadbed.operators import assembly, export, gps, images, reports, series, survey, survey_points
+from roadbed.operators.ordering import largest_group
 from roadbed.schema import Profile
 from roadbed.session import stage
 from roadbed.sources.sinks import to_insert_statements, write_csv, write_lines, write_table
@@ -28,7 +29,9 @@ def condition_points(
 ) -> dict[str, DataFrame]:
     """Point table, version by version, and the gaps found on the way.
 
-    Each version is written once: the next one reads it several times.
+    What is read several times is written once. Ends and lost points are moved
+    on the way to the smoothing, in one pass over the points: both are found on
+    the assembled table, and so is the size of the largest run.
     """
     laser = inputs.laser
     if cfg.reinterpolate_rutting:
@@ -36,13 +39,16 @@ def condition_points(
     laser = stage(laser, "laser")
     assembled = stage(assembly.assemble_points(laser, inputs.key, inputs.pic, cfg), "assembled")
     gaps = stage(gps.gps_gaps(assembled, cfg, max_rows=max_rows), "gaps")
-    snapped = gps.snap_endpoints(assembled, laser, inputs.key, cfg, max_rows)
-    repaired = gps.repair_gps(stage(snapped, "snapped"), gaps, cfg, max_rows)
+    track = gps.track_positions(laser, inputs.key, cfg)
+    points = gps.snap_endpoints(assembled, laser, inputs.key, cfg, max_rows, track)
+    points = gps.move_points(points, gps.gap_positions(assembled, gaps, cfg, max_rows))
     if inputs.corrections is not None:
-        repaired = assembly.apply_corrections(repaired, inputs.corrections)
-    smoothed = series.smooth_condition(stage(repaired, "repaired"), max_rows=max_rows)
+        points = assembly.apply_corrections(points, inputs.corrections)
+    longest = largest_group(assembled, ["file_name"])
+    smoothed = series.smooth_condition(points, max_rows=max_rows, largest=longest)
     return {
         "laser": laser,
+        "track": track,
         "assembled": assembled,
         "gaps": gaps,
         "points": stage(smoothed, "points"),
@@ -56,8 +62,10 @@ def run_pipeline(
     stages = condition_points(inputs, cfg, max_rows)
     laser, assembled, gaps = stages["laser"], stages["assembled"], stages["gaps"]
     points = stages["points"]
-    lines = stage(survey.build_survey(points, cfg, max_rows=max_rows), "survey")
-    parts = survey.survey_line_parts(points, cfg, max_rows=max_rows)
+    vertices = stage(survey.survey_vertices(points, cfg), "vertices")
+    lines = survey.build_survey(points, cfg, max_rows=max_rows, vertices=vertices)
+    lines = stage(lines, "survey")
+    parts = survey.survey_line_parts(points, cfg, max_rows=max_rows, vertices=vertices)
     local = stage(
         survey_points.build_survey_point_local(points, laser, lines, cfg, max_rows=max_rows),
         "survey_point_local",
@@ -75,7 +83,9 @@ def run_pipeline(
         "image_dirs": images.image_dirs(renamed),
         "image_copy_manifest": images.image_copy_manifest(renamed),
         "qa_gps_lost": reports.gps_lost(laser, inputs.key, cfg),
-        "qa_endpoints": reports.endpoints_off_track(assembled, laser, inputs.key, cfg),
+        "qa_endpoints": reports.endpoints_off_track(
+            assembled, laser, inputs.key, cfg, stages["track"]
+        ),
         "qa_gap_one_sided": reports.one_sided_gaps(assembled, gaps, cfg),
         "qa_missing": reports.missing_values(assembled, cfg),
         "qa_link_rules": reports.link_rules(assembled),

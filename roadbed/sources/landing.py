@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadbed.functions.numbers import half
 from roadbed.schema import KEY, LASER, PIC, SECTION_DIM
 
 _LANDED = {"laser": LASER, "key": KEY, "pic": PIC, "section_dim": SECTION_DIM}
@@ -65,7 +66,7 @@ def build_laser(gps: DataFrame, iri: DataFrame, tpl: DataFrame, mpd: DataFrame)
     # Texture depth estimated from profile depth, in millimetres.
     slope, offset = "0.8", "0.008"
     etd = F.col("texture") * F.lit(slope).cast("decimal(2,1)") + F.lit(offset).cast("decimal(4,3)")
-    mean = (F.col("iri_right") + F.col("iri_left")) / 2
+    mean = half(F.col("iri_right") + F.col("iri_left"))
     complete = joined.withColumns(
         {"iri": mean.cast("decimal(9,3)"), "etd_texture": etd.cast(metric)}
     )

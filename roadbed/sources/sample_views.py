@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadbed.functions.numbers import from_cents, half
+
 _RUN = """'202202' || lpad(cast(1 + cast(floor({k}/{a}) as bigint) % 28 as varchar(10)), 2, '0') || '_' ||
          cast(1 + cast(floor({k}/{b}) as bigint) as varchar(10))"""
 _POINT_RUN = _RUN.format(k="o_orderkey", a="5e3", b="14e4")
@@ -91,7 +93,7 @@ def _view(spark: SparkSession, sf_dir: str, text: str, source: str) -> DataFrame
 
 
 def _cents(name: str) -> Column:
-    return (F.col(name).cast("decimal(10,0)") / 100).cast("decimal(8,2)")
+    return from_cents(F.col(name))
 
 
 def raw_laser(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +135,7 @@ def laser(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lat",
         right.alias("iri_right"),
         left.alias("iri_left"),
-        ((right + left) / 2).cast("decimal(9,3)").alias("iri"),
+        half(right + left).cast("decimal(9,3)").alias("iri"),
         _cents("iri_lane_c").alias("iri_lane"),
         _cents("rutt_right_c").alias("rutt_right"),
         _cents("rutt_left_c").alias("rutt_left"),
