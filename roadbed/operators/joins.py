@@ -135,11 +135,8 @@ def near_places(
     on = cell
     if (sizes.agg(F.max("n")).first()[0] or 0) > crowd:
         on = [*cell, "__salt"]
-        # at most positions / crowd cells
-        crowded = F.broadcast(
-            sizes.filter(F.col("n") > crowd).select(
-                *cell, F.ceil(F.col("n") / crowd).cast("int").alias("__salts")
-            )
+        crowded = sizes.filter(F.col("n") > crowd).select(
+            *cell, F.ceil(F.col("n") / crowd).cast("int").alias("__salts")
         )
         salts = F.coalesce("__salts", F.lit(1))
         salt = F.pmod(F.xxhash64("p_lon", "p_lat"), salts).cast("int")

@@ -15,6 +15,7 @@ from roadbed.operators.gps import event_endpoints, gap_anchors, track_positions
 from roadbed.operators.joins import near_places
 from roadbed.operators.ordering import same, with_row_id
 from roadbed.schema import Profile
+from roadbed.session import stage
 
 #: what the rule codes of link_rules mean
 RULE_TEXTS = {
@@ -110,7 +111,7 @@ def link_rules(points: DataFrame) -> DataFrame:
         rule = rule.when((kind == prefix) & (F.abs(group) != number), code)
     # numbered before the filter, as the report always was
     order = ["km_start", "link_id", "file_name", "date", "event_name", "section_id", "km_end", "lane_no"]
-    numbered = with_row_id(groups, order, name="id")
+    numbered = with_row_id(stage(groups, "links"), order, name="id")
     return numbered.withColumn("rule", rule).filter(F.col("rule").isNotNull()).select(
         "id", "file_name", "link_id", "km_start", "km_end", "lane_no", "lane_group", "rule"
     )

@@ -16,12 +16,11 @@ _BARE = (T.NumericType, T.BooleanType)
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write parquet; rows of one partition value are brought together first.
 
-    The spread by a hash of the row keeps one large value out of one task: each
-    value may use up to 16 tasks, and so as many files.
+    Rebalancing happens on measured sizes: small values share a task, and one
+    that would fill a task is split over several, with a file each.
     """
     if partition_by:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-        df = df.repartition(*partition_by, spread)
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
