@@ -31,7 +31,7 @@ from roadbed.operators import (
     survey_points,
 )
 from roadbed.plans import pipeline
-from roadbed.schema import METRICS, Profile
+from roadbed.schema import LASER, METRICS, Profile
 from roadbed.session import stage, stage_root
 from roadbed.sources import landing, sinks
 from roadbed.sources import sample_views as views
@@ -83,6 +83,19 @@ def _source_merge(spark, sf):
     return plain(landing.build_laser(*views.extracts(spark, sf)))
 
 
+def _landed_csv(spark, sf):
+    """Measured points written as header-less CSV, blank where NULL, and landed."""
+    path = f"{stage_root(spark)}/landed-{uuid.uuid4().hex}"
+    laser = views.laser(spark, sf).select(*LASER.fieldNames())
+    laser.write.option("header", False).csv(path)
+    return plain(landing.read_landed(spark, path, "laser"))
+
+
+def _pavement_events(spark, sf):
+    columns = ["file_name", "event_str", "event_end", "event_name", "link_id", "date"]
+    return plain(assembly.pavement_events(views.key(spark, sf)), *columns)
+
+
 def _decode_link(spark, sf):
     decoded = decode_link(views.key(spark, sf))
     return plain(
@@ -169,6 +182,16 @@ def _repair_gps(spark, sf):
     return plain(repaired, *columns)
 
 
+def _repair_all_points(spark, sf):
+    """Every lost point, not only those on the grid, and gaps within one link."""
+    points = _staged_points(spark, sf)
+    islands = gps.gps_islands(points, CHECKED)
+    gaps = gps.gap_points(points, islands, CHECKED, same_link=True, all_points=True)
+    repaired = gps.repair_gps(points, stage(gaps, "gaps"), CHECKED)
+    columns = ["file_name", "date", "link_id", "event_str", "chainage", "lon", "lat", "gps_imputed"]
+    return plain(repaired, *columns)
+
+
 def _event_endpoints(spark, sf):
     return plain(gps.event_endpoints(_points(spark, sf)))
 
@@ -206,6 +229,11 @@ def _smooth_condition(spark, sf):
     return plain(smoothed, "file_name", "date", "link_id", "event_str", "chainage", *METRICS)
 
 
+def _smooth_by_link(spark, sf):
+    smoothed = series.smooth_condition(_staged_points(spark, sf), by_link=True)
+    return plain(smoothed, "file_name", "date", "link_id", "event_str", "chainage", *METRICS)
+
+
 def _interpolate_rutting(spark, sf):
     rutting = series.interpolate_rutting(views.laser(spark, sf))
     return plain(rutting, "file_name", "chainage", "rutt_right", "rutt_left", "rutting")
@@ -321,6 +349,14 @@ def _interval_lengths(spark, sf):
     return plain(measured, "survey_id", "survey_point_id", "chainage", "interval", "km_sum")
 
 
+def _interval_lengths_compat(spark, sf):
+    """Kilometres summed over all surveys that start at the same kilometre."""
+    _, lines, local = _local(spark, sf)
+    rows = local.join(lines.select("survey_id", "km_start"), "survey_id", "left")
+    measured = export.interval_lengths(stage(rows, "rows"), Profile(compat=True))
+    return plain(measured, "survey_id", "survey_point_id", "chainage", "interval", "km_sum")
+
+
 def _interval_export(spark, sf):
     lines, local, pictures = _images(spark, sf)
     renamed = images.dedupe_images(pictures)
@@ -389,6 +425,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
     return {
         "source_merge": _source_merge,
+        "landed_csv": _landed_csv,
+        "pavement_events": _pavement_events,
         "decode_link": _decode_link,
         "grid_points": _grid_points,
         "padded_band_join": _padded_band_join,
@@ -401,10 +439,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gps_gaps": _gps_gaps,
         "gap_anchors": _gap_anchors,
         "repair_gps": _repair_gps,
+        "repair_all_points": _repair_all_points,
         "event_endpoints": _event_endpoints,
         "distance_join": _distance_join,
         "snap_endpoints": _snap_endpoints,
         "smooth_condition": _smooth_condition,
+        "smooth_by_link": _smooth_by_link,
         "interpolate_rutting": _interpolate_rutting,
         "apply_corrections": _apply_corrections,
         "build_survey": _build_survey,
@@ -415,6 +455,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "survey_image": _survey_image,
         "dedupe_images": _dedupe_images,
         "interval_lengths": _interval_lengths,
+        "interval_lengths_compat": _interval_lengths_compat,
         "interval_export": _interval_export,
         "image_dirs": _image_dirs,
         "image_copy_manifest": _image_copy_manifest,

@@ -141,6 +141,17 @@ def islands(q: Sql, pts="pts") -> Sql:
     )
 
 
+def all_gaps(q: Sql, pts="pts") -> Sql:
+    """Every lost point of a gap, of the same link."""
+    islands(q, pts)
+    return q.add(
+        "gaps",
+        f"""select distinct i.*, p.chainage, gap_start - 6 as new_p_min, gap_end + 6 as new_p_max
+            from islands i join {pts} p on {_on(_LINK, 'p', 'i')} and p.chainage between gap_start and gap_end
+            where {LOST} and status = 'lost'""",
+    )
+
+
 def gaps(q: Sql, pts="pts") -> Sql:
     islands(q, pts)
     return q.add(
@@ -256,9 +267,9 @@ def snapped(q: Sql, pts="pts") -> Sql:
     )
 
 
-def smoothed(q: Sql, pts="pts") -> Sql:
+def smoothed(q: Sql, pts="pts", run="file_name") -> Sql:
     sums = ["iri_right", "iri_left", "iri_lane", "rutt_right", "rutt_left", "texture", "etd_texture"]
-    frame = "(partition by file_name order by chainage, event_str, link_id rows between 4 preceding and 4 following)"
+    frame = f"(partition by {run} order by chainage, event_str, link_id rows between 4 preceding and 4 following)"
     q.add(
         "sums",
         f"select *, {', '.join(f'case when {c} is not null then cast(sum({c}) over w as bigint) end as s_{c}' for c in sums)} "
@@ -495,15 +506,6 @@ def _images_out(relation):
       survey_id, remark, file_name, link_id, survey_point_id from {relation}"""
 
 
-def _conditioned() -> tuple[Sql, str]:
-    q = points(Sql())
-    snapped(q, "pts")
-    repaired(q, "snapped")
-    smoothed(q, "repaired")
-    # gaps are found on the assembled points
-    return q, "smoothed"
-
-
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
 
@@ -516,6 +518,12 @@ def oracle_sql() -> dict[str, str]:
           case when chainage % 10 = 0 then rutting end as rutting, case when chainage % 55 <> 0 then texture end as texture,
           case when chainage % 55 <> 0 then etd_texture end as etd_texture from laser"""
     )
+    out["landed_csv"] = q.select(
+        f"select file_name, chainage, {deg('lon')}, {deg('lat')}, {_c(_METRICS)} from laser"
+    )
+    out["pavement_events"] = q.select(
+        "select file_name, event_str, event_end, event_name, link_id, cast(date as varchar) as date from ev"
+    )
     side = "substr(right(link_id, 6), 1, 1)"
     out["decode_link"] = q.select(
         f"""select link_id, file_name, section_id, left(link_id, 3) as district, try_cast(substr(link_id, 4, 4) as bigint) as route,
@@ -592,6 +600,10 @@ def oracle_sql() -> dict[str, str]:
     out["repair_gps"] = q.select(
         f"select {dated}, event_str, chainage, {deg('lon')}, {deg('lat')}, gps_imputed from repaired"
     )
+    q = repaired(all_gaps(points(Sql())))
+    out["repair_all_points"] = q.select(
+        f"select {dated}, event_str, chainage, {deg('lon')}, {deg('lat')}, gps_imputed from repaired"
+    )
     q = near(points(Sql()))
     out["distance_join"] = q.select(
         f"""select file_name, chainage, direction, event_name, link_id, {deg('lon')}, {deg('lat')}, min(point_chainage) as chainage_data,
@@ -607,6 +619,8 @@ def oracle_sql() -> dict[str, str]:
     )
     q = smoothed(points(Sql()))
     out["smooth_condition"] = q.select(f"select {dated}, event_str, chainage, {_c(_METRICS)} from smoothed")
+    q = smoothed(points(Sql()), run="file_name, link_id")
+    out["smooth_by_link"] = q.select(f"select {dated}, event_str, chainage, {_c(_METRICS)} from smoothed")
     q = points(Sql()).add("corr_v", views.CORRECTIONS)
     out["apply_corrections"] = q.select(
         f"""select {_c([c if c != 'date' else 'cast(date as varchar) as date' for c in ['p.file_name', 'date', 'link_id']])}, event_str, p.chainage,
@@ -671,6 +685,10 @@ def oracle_sql() -> dict[str, str]:
     out["interval_lengths"] = q.select(
         'select survey_id, survey_point_id, chainage, iv as "interval", km_sum from interval_sum'
     )
+    out["interval_lengths_compat"] = q.select(
+        """select survey_id, survey_point_id, chainage, iv as "interval",
+          cast(sum(iv) over (partition by km_start order by chainage) as bigint) as km_sum from interval_len"""
+    )
     images(q)
     out["survey_image"] = q.select(_images_out("images"))
     out["qa_duplicate_images"] = q.select(

@@ -46,7 +46,7 @@ def lost_counts(laser: DataFrame, key: DataFrame, cfg: Profile = Profile()) -> D
         padded_band_join(grid, events, cfg)
         .groupBy(*LINK_KEYS)
         .agg(
-            F.count_if(is_lost(lon, lat)).alias("n_lost"),
+            F.count_if(is_lost(lon, lat, cfg.null_is_lost)).alias("n_lost"),
             F.count_if(has_any_fix(lon, lat)).alias("n_fix"),
         )
     )

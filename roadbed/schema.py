@@ -90,6 +90,8 @@ class Profile:
     stop_above: int = 10
     #: a link with more lost grid points than this is reported
     report_above: int = 11
+    #: treat a missing position like a lost one
+    null_is_lost: bool = False
     grid: float = 25.0
     spacing: float = 5.0
     snap_radius: float = 0.00004

@@ -55,14 +55,16 @@ def build_laser(gps: DataFrame, iri: DataFrame, tpl: DataFrame, mpd: DataFrame)
     """Merge the four instruments of a run on chainage; position decides the rows."""
     metric = "decimal(8,2)"
     on = ["file_name", "chainage"]
-    joined = gps.select(*on, "lon", "lat")
+    key = ["file_name", F.col("chainage").cast("double").alias("chainage")]
+    named = gps.withColumnsRenamed({"LONGITUDE": "lon", "LATITUDE": "lat"})
+    joined = named.select(*key, "lon", "lat")
     for table, names in (
         (iri, {"RWP_IRI": "iri_right", "LWP_IRI": "iri_left", "LANE_IRI": "iri_lane"}),
         (tpl, {"RUT_EDG_SE": "rutt_right", "RUT_CTR_SE": "rutt_left", "RUT_SE": "rutting"}),
         (mpd, {"LANE_MPD": "texture"}),
     ):
         values = [F.col(old).cast(metric).alias(new) for old, new in names.items()]
-        joined = joined.join(table.select(*on, *values), on, "left")
+        joined = joined.join(table.select(*key, *values), on, "left")
     # Texture depth estimated from profile depth, in millimetres.
     slope, offset = "0.8", "0.008"
     etd = F.col("texture") * F.lit(slope).cast("decimal(2,1)") + F.lit(offset).cast("decimal(4,3)")
@@ -73,7 +75,21 @@ def build_laser(gps: DataFrame, iri: DataFrame, tpl: DataFrame, mpd: DataFrame)
     return complete.select([F.col(f.name).cast(f.dataType) for f in LASER])
 
 
-def build_key(raw: DataFrame, names: dict[str, str]) -> DataFrame:
+# Column names of the raw event extract.
+KEY_COLUMNS = {
+    "CHAINAGE_START": "event_str",
+    "CHAINAGE_END": "event_end",
+    "EVENT": "event_num",
+    "SWITCH_GROUP": "event_type",
+    "EVENT_DESC": "event_name",
+    "LATITUDE_START": "lat_str",
+    "LATITUDE_END": "lat_end",
+    "LONGITUDE_START": "lon_str",
+    "LONGITUDE_END": "lon_end",
+}
+
+
+def build_key(raw: DataFrame, names: dict[str, str] = KEY_COLUMNS) -> DataFrame:
     """Event table from a raw extract; ``names`` maps raw to landed columns."""
     renamed = raw.withColumnsRenamed(names)
     columns = [F.col(f.name).cast(f.dataType) for f in KEY]

@@ -39,14 +39,13 @@ def test_laser_csv_types(spark, tmp_path):
 
 def test_raw_extracts(spark):
     raw = spark.createDataFrame(
-        [("f", 1.0, 9.0, "pave type.", "336  ")], "file_name string, F1 double, F2 double, T string, L string"
+        [("f", 1.0, 9.0, "pave type.", "336  ")], "file_name string, CHAINAGE_START double, CHAINAGE_END double, SWITCH_GROUP string, LINK_ID string"
     )
-    for name in ("event_num", "event_name", "section_id", "km_start", "km_end", "length", "lane_no", "survey_date"):
+    for name in ("EVENT", "EVENT_DESC", "section_id", "km_start", "km_end", "length", "lane_no", "survey_date"):
         raw = raw.withColumn(name, F.lit("1 "))
-    for name in ("lat_str", "lat_end", "lon_str", "lon_end"):
+    for name in ("LATITUDE_START", "LATITUDE_END", "LONGITUDE_START", "LONGITUDE_END"):
         raw = raw.withColumn(name, F.lit("1.5"))
-    names = {"F1": "event_str", "F2": "event_end", "T": "event_type", "L": "link_id"}
-    row = landing.build_key(raw, names).first()
+    row = landing.build_key(raw).first()
     assert (row.link_id, row.event_end, row.lat_str, row.section_id) == ("336", 9.0, 1.5, "1")
     pictures = spark.createDataFrame([("f", 5, 7)], "file_name string, CHAINAGE int, FRAME int")
     assert tuple(landing.build_pic(pictures).first()) == (5.0, "7", "f")

@@ -295,3 +295,10 @@ def test_missing_value_precedence(spark):
     assert values(reports.missing_values(df, BASIC), "chainage") == [(3.0,), (25.0,), (25.0,)]
     assert values(reports.missing_values(df, WITH_EXPORT), "chainage") == [(3.0,), (25.0,)]
     assert values(reports.missing_values(df, BASIC, grid_only=True), "chainage") == [(25.0,), (25.0,)]
+
+
+def test_missing_positions_can_count_as_lost(spark):
+    rows = [("a", 0.0, 1.0, 1.0), ("a", 25.0, None, None), ("a", 30.0, 2.0, 1.0)]
+    points = _points(spark, rows)
+    assert gps.gps_islands(points).count() == 0
+    assert values(gps.gps_islands(points, Profile(null_is_lost=True)), "gap_start") == [(25.0,)]
