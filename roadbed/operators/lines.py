@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadbed.functions.geometry import make_line, planar_distance
-from roadbed.operators.ordering import OrderedGroups, same
+from roadbed.operators.ordering import OrderedGroups
+from roadbed.session import stage
 
 #: segments of one line that share a bucket in place_on_lines
 _SEGMENTS_PER_BUCKET = 64
@@ -23,17 +24,17 @@ def place_on_lines(
 ) -> DataFrame:
     """Add ``new_lon``/``new_lat``: the point at ``fraction`` of the target's line.
 
-    ``vertices`` holds ``by`` columns and m, lon, lat. Each line is cut into
-    segments with the share of the planar length run through before and after;
-    a target falls into exactly one of them. Long lines are spread over buckets
-    of that share. Targets with a fraction outside 0..1, or without a line, are
-    left out. A line of one vertex, or of no length, gives its first vertex.
+    ``vertices`` holds ``by`` columns (never NULL) and m, lon, lat; a vertex
+    listed twice does no harm. Each line is cut into segments with the share of
+    the planar length run through before and after; a target falls into exactly
+    one of them. Long lines are spread over buckets of that share. Targets with
+    a fraction outside 0..1, or without a line, are left out. A line of one
+    vertex, or of no length, gives its first vertex.
     """
     by = list(by)
-    names = [f"__l{i}" for i in range(len(by))]
     follower = F.struct("m", "lon", "lat")
     groups = OrderedGroups(
-        vertices.select(*by, "m", "lon", "lat").distinct(), by, ["m", "lon", "lat"], max_rows
+        vertices.select(*by, "m", "lon", "lat"), by, ["m", "lon", "lat"], max_rows
     ).frames({"next": lambda w: F.lead(follower).over(w)}, before=0, after=1)
     length = planar_distance(F.col("lon"), F.col("lat"), F.col("next.lon"), F.col("next.lat"))
     segments = (
@@ -41,11 +42,10 @@ def place_on_lines(
         .running_sum("run_end", F.col("seg_length"))
         .to_df()
         .select(
-            *[F.col(k).alias(n) for k, n in zip(by, names)],
+            *by,
             "seg_length",
             (F.col("run_end") - F.col("seg_length")).alias("run_start"),
             "run_end",
-            F.col("m").alias("seg_m"),
             F.col("lon").alias("seg_lon"),
             F.col("lat").alias("seg_lat"),
             F.coalesce("next.lon", "lon").alias("end_lon"),
@@ -53,37 +53,33 @@ def place_on_lines(
             F.col("next").isNull().alias("is_last"),
         )
     )
-    totals = segments.groupBy(*names).agg(
+    # summed up, and joined to targets and to the sums: written once
+    segments = stage(segments, "segments")
+    totals = segments.groupBy(*by).agg(
         F.max("run_end").alias("total"), F.ceil(F.count("*") / _SEGMENTS_PER_BUCKET).alias("n_slots")
     )
-    lines = [f"__t{i}" for i in range(len(by))]
-    totals = totals.withColumnsRenamed(dict(zip(names, lines)))
 
-    def slot(run, slack: float):
+    def slot(run: Column, slack: float) -> Column:
         share = F.when(F.col("total") > 0, run / F.col("total")).otherwise(0.0)
         return F.floor(share * F.col("n_slots") + slack).cast("bigint")
 
-    slotted = segments.join(totals, same(segments, totals, names, lines)).withColumn(
-        "seg_slot",
-        F.explode(F.sequence(slot(F.col("run_start"), -1e-6), slot(F.col("run_end"), 1e-6))),
+    slots = F.sequence(slot(F.col("run_start"), -1e-6), slot(F.col("run_end"), 1e-6))
+    slotted = (
+        segments.join(totals, by).withColumn("slot", F.explode(slots)).drop("total", "n_slots")
     )
-    slotted = slotted.drop("total", "n_slots", *lines)
     aimed = (
         targets.filter(F.col(fraction).between(0, 1))
-        .join(totals, same(targets, totals, by, lines))
+        .join(totals, by)
         .withColumn("aim", F.col(fraction) * F.col("total"))
+        .withColumn("slot", slot(F.col("aim"), 0.0))
+        .drop("total", "n_slots")
     )
-    aimed = aimed.withColumn("aim_slot", slot(F.col("aim"), 0.0)).drop("total", "n_slots", *lines)
-    inside = (F.col("aim") >= F.col("run_start")) & (
-        F.col("is_last") | (F.col("aim") < F.col("run_end"))
-    )
+    aim = F.col("aim")
+    inside = (aim >= F.col("run_start")) & (F.col("is_last") | (aim < F.col("run_end")))
     share = F.when(
-        F.col("seg_length") > 0, (F.col("aim") - F.col("run_start")) / F.col("seg_length")
+        F.col("seg_length") > 0, (aim - F.col("run_start")) / F.col("seg_length")
     ).otherwise(0.0)
-    placed = aimed.join(
-        slotted,
-        same(aimed, slotted, by, names) & (F.col("aim_slot") == F.col("seg_slot")) & inside,
-    )
+    placed = aimed.join(slotted, [*by, "slot"]).filter(inside)
     return placed.withColumns(
         {
             "new_lon": F.col("seg_lon") + share * (F.col("end_lon") - F.col("seg_lon")),
