@@ -368,6 +368,12 @@ def _qa_gps_lost(spark, sf):
     return plain(reports.gps_lost(views.laser(spark, sf), views.key(spark, sf), CHECKED))
 
 
+def _qa_links_dropped(spark, sf):
+    """Links without a grid point near them, on a 200 m grid."""
+    coarse = Profile(cap_mode="clamp", stop_above=1, grid=200.0)
+    return plain(assembly.links_dropped(views.laser(spark, sf), views.key(spark, sf), coarse))
+
+
 def _qa_endpoints(spark, sf):
     tables = _staged_points(spark, sf), views.laser(spark, sf), views.key(spark, sf)
     return plain(reports.endpoints_off_track(*tables, CHECKED))
@@ -462,6 +468,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "insert_statements": _insert_statements,
         "csv_export": _csv_export,
         "qa_gps_lost": _qa_gps_lost,
+        "qa_links_dropped": _qa_links_dropped,
         "qa_endpoints": _qa_endpoints,
         "qa_gap_one_sided": _qa_gap_one_sided,
         "qa_missing": _qa_missing,

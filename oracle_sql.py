@@ -521,6 +521,12 @@ def oracle_sql() -> dict[str, str]:
     out["landed_csv"] = q.select(
         f"select file_name, chainage, {deg('lon')}, {deg('lat')}, {_c(_METRICS)} from laser"
     )
+    out["qa_links_dropped"] = q.select(
+        """select distinct file_name, cast(date as varchar) as date, link_id from ev e where link_id is not null
+          and not exists (select 1 from laser l join ev o on l.file_name = o.file_name and l.chainage % 200 = 0
+            and l.chainage between o.event_str - 5 and o.event_end + 5
+            where o.file_name = e.file_name and o.date = e.date and o.link_id = e.link_id)"""
+    )
     out["pavement_events"] = q.select(
         "select file_name, event_str, event_end, event_name, link_id, cast(date as varchar) as date from ev"
     )

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from roadbed.functions import numbers
 from roadbed.functions.predicates import has_any_fix, is_lost, is_pavement, on_grid
 from roadbed.operators.joins import band_join, update_from
-from roadbed.operators.ordering import same
 from roadbed.schema import Profile
 
 LINK_KEYS = ("file_name", "date", "link_id")
@@ -123,11 +122,10 @@ def assemble_points(
     return points.withColumn("gps_imputed", F.lit(False))
 
 
-def links_without_grid_points(points: DataFrame, laser: DataFrame, key: DataFrame) -> DataFrame:
-    """Links the status join drops because no grid point lies near them."""
-    links = points.select(*LINK_KEYS).distinct()
-    status = link_status(laser, key).select(*LINK_KEYS)
-    return links.join(status, same(links, status, LINK_KEYS, LINK_KEYS), "left_anti")
+def links_dropped(laser: DataFrame, key: DataFrame, cfg: Profile = Profile()) -> DataFrame:
+    """Pavement links the status join drops: no grid point lies near them."""
+    links = pavement_events(key).select(*LINK_KEYS).filter(F.col("link_id").isNotNull()).distinct()
+    return links.join(link_status(laser, key, cfg).select(*LINK_KEYS), list(LINK_KEYS), "left_anti")
 
 
 def apply_corrections(points: DataFrame, corrections: DataFrame) -> DataFrame:

@@ -19,6 +19,9 @@ from roadbed.session import stage
 #: groups above this many rows are cut into chunks of this size
 MAX_GROUP_ROWS = 2_000_000
 
+#: keys of large groups are broadcast up to this many
+MAX_BROADCAST_KEYS = 100_000
+
 _RID = "__rid"
 _CHUNK = "__chunk"
 _HOME = "__home"
@@ -88,7 +91,7 @@ class OrderedGroups:
         such as that of coarser groups, if already known; else it is counted."""
         self.keys, self.order = list(keys), list(order)
         self.max_rows = max_rows or MAX_GROUP_ROWS
-        self.small, self.large = df, None
+        self.small, self.large, self.few = df, None, True
         self.largest = largest_group(df, self.keys) if largest is None else largest
         if self.largest <= self.max_rows:
             return
@@ -99,8 +102,10 @@ class OrderedGroups:
             F.count("*").alias("n")
         )
         hot = sizes.filter(F.col("n") > self.max_rows).select(*names)
-        # at most rows / max_rows keys
-        hot = F.broadcast(stage(hot, "large-groups"))
+        # at most rows / max_rows keys, and counted before they are sent around
+        hot = stage(hot, "large-groups")
+        self.few = hot.count() <= MAX_BROADCAST_KEYS
+        hot = self._small_side(hot)
         match = same(df, hot, self.keys, names)
         self.small = df.join(hot, match, "left_anti")
         numbered = with_row_id(
@@ -108,10 +113,13 @@ class OrderedGroups:
         )
         self.large = numbered.withColumn(_CHUNK, F.expr(f"{_RID} div {self.max_rows}"))
 
+    def _small_side(self, keys: DataFrame) -> DataFrame:
+        return F.broadcast(keys) if self.few else keys
+
     def _next(self, small: DataFrame, large: DataFrame | None) -> OrderedGroups:
         twin = object.__new__(OrderedGroups)
         twin.keys, twin.order = self.keys, self.order
-        twin.max_rows, twin.largest = self.max_rows, self.largest
+        twin.max_rows, twin.largest, twin.few = self.max_rows, self.largest, self.few
         twin.small, twin.large = small, large
         return twin
 
@@ -153,7 +161,7 @@ class OrderedGroups:
             F.min(_RID).alias("__first")
         )
         large = (
-            self.large.join(F.broadcast(firsts), same(self.large, firsts, self.keys, names))
+            self.large.join(self._small_side(firsts), same(self.large, firsts, self.keys, names))
             .withColumn(name, F.col(_RID) - F.col("__first") + 1)
             .drop("__first", *names)
         )

@@ -82,6 +82,7 @@ def run_pipeline(
         "survey_image": renamed,
         "image_dirs": images.image_dirs(renamed),
         "image_copy_manifest": images.image_copy_manifest(renamed),
+        "qa_links_dropped": assembly.links_dropped(laser, inputs.key, cfg),
         "qa_gps_lost": reports.gps_lost(laser, inputs.key, cfg),
         "qa_endpoints": reports.endpoints_off_track(
             assembled, laser, inputs.key, cfg, stages["track"]
