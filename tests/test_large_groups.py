@@ -124,3 +124,14 @@ def test_row_ids_are_contiguous(spark):
     got = with_row_id(df, ["a", "b"], start=100)
     ids = [r[0] for r in got.orderBy("a", "b").select("row_id").collect()]
     assert ids == list(range(101, 5101))
+
+
+def test_many_large_groups_are_not_broadcast(spark, monkeypatch):
+    from roadbed.operators import ordering
+
+    monkeypatch.setattr(ordering, "MAX_BROADCAST_KEYS", 1)
+    df = spark.range(0, 120).select((F.col("id") % 4).alias("k"), F.col("id").alias("c"))
+    groups = OrderedGroups(df, ["k"], ["c"], 10).row_number("n").running_sum("s", F.col("n"))
+    got = groups.to_df()
+    assert got.count() == 120
+    assert got.filter("n = (c - k) div 4 + 1 and s = n * (n + 1) div 2").count() == 120
