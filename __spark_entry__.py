@@ -36,6 +36,14 @@ from roadbed.session import stage, stage_root
 from roadbed.sources import landing, sinks
 from roadbed.sources import sample_views as views
 
+try:  # the training-data operators may be left out of an installation
+    import corpus_pipeline as _pipeline
+    from roadbed.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "roadbed.llm"):
+        raise
+    _llm = None
+
 #: the sample links have at most three lost grid points; a random cap cannot be
 #: compared between engines by value
 CHECKED = Profile(cap_mode="clamp", stop_above=1, report_above=1, interval_export=True)
@@ -429,7 +437,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
-    return {
+    more = {} if _llm is None else {**_llm.queries(), "pipeline": _pipeline.run}
+    return more | {
         "source_merge": _source_merge,
         "landed_csv": _landed_csv,
         "pavement_events": _pavement_events,
@@ -483,4 +492,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL twins, for every key of ``queries()`` that SQL can express."""
-    return _oracle.oracle_sql()
+    return _oracle.oracle_sql() | ({} if _llm is None else _llm.oracle_sql())
