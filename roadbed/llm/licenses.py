@@ -108,7 +108,7 @@ FORMS = [
     ("spdx license identifier {short}", 0.97),
     ("(?:under|subject to|in accordance with|governed by) (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:{name})(?: public)?(?: licen[sc]e)?", 0.9),
     ("licen[sc]e (?:is )?(?:the )?(?:{name})(?: licen[sc]e)?", 0.8),
-    ("(?:{name})(?: \\w+)? licen[sc]ed?", 0.75),
+    ("(?:{name})(?: (?:software|public|open source|style))? licen[sc]ed?", 0.75),
 ]
 
 #: names that speak for themselves need no word "license" beside them
