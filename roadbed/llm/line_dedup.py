@@ -4,9 +4,9 @@ A line is cut into ``EDITS`` + 1 segments. A line within ``EDITS`` edits of it
 has at least one of these segments unchanged, shifted by no more than the edits
 around it allow; so every line is indexed by its segments and probes, for each
 length in reach, the substrings that can match one. A probe and an indexed line
-meet by the hash of (length, segment number, segment). Two bit masks travel
-with them: an edit changes the parity of at most two letter counts and four
-letter-pair counts, so most chance meetings end without their texts being read.
+meet by the hash of (length, segment number, segment). A bit mask travels with
+them: an edit changes the parity of at most two letter counts, so most chance
+meetings end without their texts being read.
 What is left is verified on the texts by a banded bit-parallel edit distance.
 """
 
@@ -63,24 +63,18 @@ def probes(n: int) -> Iterator[tuple[int, int, int, int]]:
 
 
 def masks(lines: list[str]) -> np.ndarray:
-    """Parities of letter counts (low 32 bits) and of letter-pair counts, by line."""
+    """Parities of letter counts, in 32 classes of letters, by line."""
     text = "\n".join(lines) + "\n"
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     border = codes == 10
-    low = np.where(border, np.uint64(0), np.uint64(1) << (codes & np.uint64(31)))
-    after = np.append(codes[1:], np.uint64(10))
-    pairs = (codes * np.uint64(0x9E3779B1) + after) * np.uint64(0xD6E8FEB86659FD93)
-    high = np.uint64(1) << (np.uint64(32) + (pairs >> np.uint64(59)))
-    high = np.where(border | (after == 10), np.uint64(0), high)
+    bits = np.where(border, np.uint32(0), np.uint32(1) << (codes & np.uint32(31)))
     starts = np.append(0, np.flatnonzero(border)[:-1] + 1)
-    return np.bitwise_xor.reduceat(low ^ high, starts)
+    return np.bitwise_xor.reduceat(bits, starts)
 
 
 def may_be_close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """False only for lines more than ``EDITS`` edits apart."""
-    diff = a ^ b
-    letters = np.bitwise_count(diff & np.uint64(0xFFFFFFFF)) <= 2 * EDITS
-    return letters & (np.bitwise_count(diff >> np.uint64(32)) <= 4 * EDITS)
+    return np.bitwise_count(a ^ b) <= 2 * EDITS
 
 
 def _common(a: str, b: str) -> int:
@@ -146,7 +140,7 @@ def _cuts(n: int) -> list[tuple[int, int, int, int]]:
     return [(seed, 4 * at, 4 * (at + size), kind) for (seed, at, size), kind in kinds.items()]
 
 
-_KEYED = "key bigint, id bigint, mask bigint, kind tinyint"
+_KEYED = "key bigint, id bigint, mask int, kind tinyint"
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +164,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(cuts))
         columns = [
             np.array(keys, np.uint64).view(np.int64), np.repeat(np.array(ids, np.int64), sizes),
-            np.repeat(masks(lines).view(np.int64), sizes), np.array(kinds, np.int8),
+            np.repeat(masks(lines).view(np.int32), sizes), np.array(kinds, np.int8),
         ]
         yield pa.record_batch([pa.array(c) for c in columns], ["key", "id", "mask", "kind"])
 
@@ -182,7 +176,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         first = starts[:-1]
         differ = np.maximum.reduceat(ids, first) != np.minimum.reduceat(ids, first)
-        mask, out = mask.view(np.uint64), []
+        mask, out = mask.view(np.uint32), []
         for g in np.flatnonzero(differ):
             own = np.arange(starts[g], starts[g + 1])
             index, probe = own[kind[own] & _INDEX > 0], own[kind[own] & _PROBE > 0]
@@ -205,7 +199,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, r"^[ \t\r]+|[ \t\r]+$", "")
+    return F.btrim(line, F.lit(" \t\r"))
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
