@@ -30,6 +30,7 @@ from roadbed.operators import (
     survey,
     survey_points,
 )
+from roadbed.operators import lines as lines_on
 from roadbed.plans import pipeline
 from roadbed.schema import LASER, METRICS, Profile
 from roadbed.session import stage, stage_root
@@ -200,6 +201,26 @@ def _repair_all_points(spark, sf):
     return plain(repaired, *columns)
 
 
+def _place_on_dense_lines(spark, sf):
+    """A point on each order's straight line of 5, 9 or 11 vertices, at a vertex."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("k"))
+    size = F.element_at(F.array(F.lit(5), F.lit(9), F.lit(11)), (F.col("k") % 3 + 1).cast("int"))
+    step = F.when(F.col("k") % 2 == 0, 20 / 7).otherwise(20 / 11) * 1e-6
+    lines = orders.select("k", size.alias("size"), step.alias("step"))
+    vertices = lines.select("k", "step", F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("m"))
+    vertices = vertices.select(
+        "k", F.col("m").cast("double").alias("m"), (F.col("m") * F.col("step")).alias("lon"),
+        (F.col("m") * F.col("step") / 2).alias("lat"),
+    )
+    at = (F.col("k") % 5) * F.floor((F.col("size") - 1) / 4) / (F.col("size") - 1)
+    targets = lines.select("k", at.cast("double").alias("fraction"))
+    placed = lines_on.place_on_lines(targets, vertices, ["k"])
+    return placed.select(
+        "k", F.round(F.col("new_lon") * 1e12).cast("bigint").alias("lon"),
+        F.round(F.col("new_lat") * 1e12).cast("bigint").alias("lat"),
+    )
+
+
 def _event_endpoints(spark, sf):
     return plain(gps.event_endpoints(_points(spark, sf)))
 
@@ -455,6 +476,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gap_anchors": _gap_anchors,
         "repair_gps": _repair_gps,
         "repair_all_points": _repair_all_points,
+        "place_on_dense_lines": _place_on_dense_lines,
         "event_endpoints": _event_endpoints,
         "distance_join": _distance_join,
         "snap_endpoints": _snap_endpoints,

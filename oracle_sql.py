@@ -191,14 +191,17 @@ def place(q: Sql, name, by, targets, vertices) -> Sql:
         f"select *, sum(len) over ({order} rows unbounded preceding) as run_end from {name}_len",
     )
     q.add(f"{name}_total", f"select {_c(by)}, max(run_end) as total from {name}_run group by all")
+    # the last segment that starts at or before the aim, whatever its end
+    q.add(f"{name}_start", f"select *, run_end - len as run_start, row_number() over ({order}) as seg_no from {name}_run")
     return q.add(
         name,
-        f"""select t.*,
-              s.lon + case when len > 0 then (fraction*total - (run_end - len))/len else 0e0 end * (coalesce(lon2, lon) - lon) as new_lon,
-              s.lat + case when len > 0 then (fraction*total - (run_end - len))/len else 0e0 end * (coalesce(lat2, lat) - lat) as new_lat
-            from {targets} t join {name}_total x on {_on_null(by, 't', 'x')} join {name}_run s on {_on_null(by, 't', 's')}
-            where fraction between 0 and 1 and fraction*total >= run_end - len
-              and (lon2 is null or fraction*total < run_end)""",
+        f"""select t.* exclude (tid),
+              s.lon + case when len > 0 then least(1e0, (fraction*total - run_start)/len) else 0e0 end * (coalesce(lon2, lon) - lon) as new_lon,
+              s.lat + case when len > 0 then least(1e0, (fraction*total - run_start)/len) else 0e0 end * (coalesce(lat2, lat) - lat) as new_lat
+            from (select *, row_number() over () as tid from {targets}) t
+            join {name}_total x on {_on_null(by, 't', 'x')} join {name}_start s on {_on_null(by, 't', 's')}
+            where fraction between 0 and 1 and fraction*total >= run_start
+            qualify row_number() over (partition by tid order by seg_no desc) = 1""",
     )
 
 
@@ -707,11 +710,16 @@ def oracle_sql() -> dict[str, str]:
         rf"""select folder, 'mkdir ' || folder as line from (select distinct 'E:\images\' || replace({folder}, '/', '\') as folder
           from renamed where directory is not null)"""
     )
-    src = r"'E:\' || left(filename, 8) || '\' || left(filename, 8) || '_1\ROW-0\' || filename"
+    src = r"'E:\' || left(filename, 8) || '\' || regexp_extract(filename, '^\d{8}_\d+') || '\ROW-0\' || filename"
     dst = rf"'E:\images\' || replace({folder}, '/', '\') || '\' || filename"
     out["image_copy_manifest"] = q.select(
         f"select {src} as src, {dst} as dst, 'copy ' || {src} || ' ' || {dst} as line from renamed where directory is not null"
     )
+    # straight lines of equal steps: the place follows from the step alone
+    out["place_on_dense_lines"] = """
+        select o_orderkey as k, cast(round(n * step * 1e12) as bigint) as lon, cast(round(n * step / 2 * 1e12) as bigint) as lat
+        from (select o_orderkey, (o_orderkey % 5) * ([4, 8, 10][1 + o_orderkey % 3] // 4) as n,
+                     case when o_orderkey % 2 = 0 then 20e0/7e0 else 20e0/11e0 end * 1e-6 as step from orders)"""
     exported(q, "renamed")
     export_columns = [
         "road_id", "road_revision", "section_id", "section_revision", "section_part_id", "road_code",

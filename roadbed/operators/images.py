@@ -111,22 +111,17 @@ def image_copy_manifest(
     images: DataFrame,
     src_root: str = "E:\\",
     dst_root: str = "E:\\images\\",
-    src_layout: str = "by_run",
-    run: str = "1",
+    run: str | None = None,
 ) -> DataFrame:
-    """Source and target of every picture.
+    """Source and target of every picture: <src_root><day>\\<day>_<run>\\ROW-0\\<file>.
 
-    ``by_run``: <root><day>\\<day>_<run>\\ROW-0\\<file>, the run given by hand;
-    ``by_name``: the run folder is the first 10 characters of the file name.
+    The run is the one the file is named after; ``run`` puts another in its place.
     """
     name = F.col("filename")
     day = F.left(name, F.lit(8))
-    if src_layout == "by_run":
+    run_folder = F.regexp_extract(name, r"^\d{8}_\d+", 0)
+    if run is not None:
         run_folder = F.concat(day, F.lit(f"_{run}"))
-    elif src_layout == "by_name":
-        run_folder = F.left(name, F.lit(10))
-    else:
-        raise ValueError(f"unknown source layout: {src_layout}")
     src = F.concat(F.lit(src_root), day, F.lit("\\"), run_folder, F.lit("\\ROW-0\\"), name)
     dst = F.concat(F.lit(dst_root), _windows(_folder()), F.lit("\\"), name)
     manifest = images.filter(name.isNotNull() & F.col("directory").isNotNull())

@@ -25,26 +25,27 @@ def place_on_lines(
     """Add ``new_lon``/``new_lat``: the point at ``fraction`` of the target's line.
 
     ``vertices`` holds ``by`` columns (never NULL) and m, lon, lat; a vertex
-    listed twice does no harm. Each line is cut into segments with the share of
-    the planar length run through before and after; a target falls into exactly
-    one of them. Long lines are spread over buckets of that share. Targets with
+    listed twice counts once. Each line is cut into segments by the planar
+    length run through; a segment starts at the very number its neighbour ends
+    at, so a target falls into exactly one of them. Long lines are spread over buckets of that share. Targets with
     a fraction outside 0..1, or without a line, are left out. A line of one
     vertex, or of no length, gives its first vertex.
     """
     by = list(by)
     follower = F.struct("m", "lon", "lat")
     groups = OrderedGroups(
-        vertices.select(*by, "m", "lon", "lat"), by, ["m", "lon", "lat"], max_rows
+        vertices.select(*by, "m", "lon", "lat").distinct(), by, ["m", "lon", "lat"], max_rows
     ).frames({"next": lambda w: F.lead(follower).over(w)}, before=0, after=1)
     length = planar_distance(F.col("lon"), F.col("lat"), F.col("next.lon"), F.col("next.lat"))
     segments = (
         groups.map(lambda d: d.withColumn("seg_length", F.coalesce(length, F.lit(0.0))))
         .running_sum("run_end", F.col("seg_length"))
+        .frames({"before": lambda w: F.lag("run_end").over(w)}, before=1, after=0)
         .to_df()
         .select(
             *by,
             "seg_length",
-            (F.col("run_end") - F.col("seg_length")).alias("run_start"),
+            F.coalesce("before", F.lit(0.0)).alias("run_start"),
             "run_end",
             F.col("lon").alias("seg_lon"),
             F.col("lat").alias("seg_lat"),
@@ -76,9 +77,8 @@ def place_on_lines(
     )
     aim = F.col("aim")
     inside = (aim >= F.col("run_start")) & (F.col("is_last") | (aim < F.col("run_end")))
-    share = F.when(
-        F.col("seg_length") > 0, (aim - F.col("run_start")) / F.col("seg_length")
-    ).otherwise(0.0)
+    part = F.least((aim - F.col("run_start")) / F.col("seg_length"), F.lit(1.0))
+    share = F.when(F.col("seg_length") > 0, part).otherwise(0.0)
     placed = aimed.join(slotted, [*by, "slot"]).filter(inside)
     return placed.withColumns(
         {

@@ -97,8 +97,8 @@ def build_survey(
 ) -> DataFrame:
     """The survey table, with file_name and event_name added as keys.
 
-    ``the_geom`` is NULL for a line of more than one part; ``line_parts`` then
-    counts them and ``survey_line_parts`` holds them all.
+    ``the_geom`` has every vertex, whatever the length; it is put together from
+    parts, which ``line_parts`` counts and ``survey_line_parts`` holds.
     """
     # measured, then numbered: join up the vertices once
     if vertices is None:
@@ -116,7 +116,7 @@ def build_survey(
         F.sum("metres").alias("metres"),
         F.min("chainage_str").alias("chainage_str"),
         F.count("*").alias("line_parts"),
-        F.first(F.when(F.col("part_no") == 0, F.col("line")), ignorenulls=True).alias("line"),
+        F.array_sort(F.collect_list(F.struct("part_no", "line"))).alias("parts"),
     )
     link, km_start, km_end = F.col("link_id"), km_to_int(F.col("km_start")), km_to_int(F.col("km_end"))
     side = F.substring(F.right(link, F.lit(6)), 1, 1)
@@ -138,7 +138,7 @@ def build_survey(
         F.year("date").alias("year"),
         ids.survey_type(link).alias("survey_type"),
         "date",
-        F.when(F.col("line_parts") == 1, F.col("line")).alias("the_geom"),
+        F.flatten(F.transform("parts", lambda p: p["line"])).alias("the_geom"),
         F.lit(cfg.remark).alias("remark"),
         F.lit(cfg.run_tag).alias("run_new"),
         F.lit(25).alias("interval"),

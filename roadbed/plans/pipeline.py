@@ -80,8 +80,8 @@ def run_pipeline(
         "survey_point_local": local,
         "survey_point": survey_points.build_survey_point(local),
         "survey_image": renamed,
-        "image_dirs": images.image_dirs(renamed),
-        "image_copy_manifest": images.image_copy_manifest(renamed),
+        "image_dirs": images.image_dirs(renamed, cfg.image_target),
+        "image_copy_manifest": images.image_copy_manifest(renamed, cfg.image_source, cfg.image_target),
         "qa_links_dropped": assembly.links_dropped(laser, inputs.key, cfg),
         "qa_gps_lost": reports.gps_lost(laser, inputs.key, cfg),
         "qa_endpoints": reports.endpoints_off_track(
@@ -103,13 +103,11 @@ def run_pipeline(
 
 def publish(tables: dict[str, DataFrame], folder: str) -> None:
     """Write the published tables, and the scripts that go with them."""
-    partitions = {
-        "survey": ["date", "file_name"],
-        "survey_point_local": ["date", "file_name"],
-        "survey_image": ["date", "file_name"],
-    }
+    # by day: a folder for each run would be too many
+    by_day = ("survey", "survey_point_local", "survey_image")
     for name in ("survey", "survey_line_parts", "survey_point_local", "survey_point", "survey_image"):
-        write_table(tables[name], f"{folder}/{name}", partitions.get(name, ()))
+        keys = (["date"], ["file_name"]) if name in by_day else ()
+        write_table(tables[name], f"{folder}/{name}", *keys)
     for name in ("survey", "survey_point", "survey_image"):
         statements = to_insert_statements(tables[name], name)
         write_lines(statements, "statement", f"{folder}/sql/{name}")

@@ -76,6 +76,9 @@ class Profile:
     image_remark: str = "road_images"
     run_tag: str = "run"
     path_root: str = "survey/images"
+    #: roots the copy script copies pictures from and to
+    image_source: str = "E:\\"
+    image_target: str = "E:\\images\\"
     #: re-interpolate rutting between 10 m values before assembly
     reinterpolate_rutting: bool = False
     #: columns the missing-value report looks at

@@ -18,7 +18,7 @@ def stage_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     root = tempfile.mkdtemp(prefix="roadbed-")
     context.setCheckpointDir(root)

@@ -16,8 +16,11 @@ RUN_PATTERN = r"(\d{8}_\d+)"
 
 
 def run_from_path() -> Column:
-    """Run id of the file a row was read from."""
-    return F.regexp_extract(F.col("_metadata.file_path"), RUN_PATTERN, 1)
+    """Run id of the file a row was read from; a path without one is an error."""
+    path = F.col("_metadata.file_path")
+    run = F.regexp_extract(path, RUN_PATTERN, 1)
+    wrong = F.raise_error(F.concat(F.lit("no run id in path "), path)).cast("string")
+    return F.when(run != "", run).otherwise(wrong)
 
 
 def read_landed(

@@ -13,15 +13,19 @@ from roadbed.operators.ordering import with_row_id
 _BARE = (T.NumericType, T.BooleanType)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
     """Write parquet; rows of one partition value are brought together first.
 
     Rebalancing happens on measured sizes: small values share a task, and one
-    that would fill a task is split over several, with a file each.
+    that would fill a task is split over several, with a file each. ``cluster_by``
+    keeps rows together inside a partition, without a folder each. Of a
+    partitioned table only the partitions that ``df`` has are written anew.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df = df.sortWithinPartitions(*partition_by, *cluster_by)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def indexed(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:

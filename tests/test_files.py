@@ -77,7 +77,7 @@ def test_publish(spark, sf_dir, tmp_path):
     assert sorted(r[0] for r in lines.select("survey_id").collect()) == list(range(101, 101 + lines.count()))
     points = spark.read.parquet(f"{tmp_path}/survey_point_local")
     assert points.count() == tables["survey_point"].count() > 0
-    assert len(glob.glob(f"{tmp_path}/survey/date=*/file_name=*")) > 0
+    assert glob.glob(f"{tmp_path}/survey/date=*/*.parquet") and not glob.glob(f"{tmp_path}/survey/date=*/file_name=*")
     for name in ("survey", "survey_point", "survey_image"):
         text = spark.read.text(f"{tmp_path}/sql/{name}")
         assert text.count() == tables[name].count()
@@ -90,3 +90,18 @@ def test_publish(spark, sf_dir, tmp_path):
     # capped at random, but within the range and the same when run again
     again = pipeline.run_pipeline(inputs, cfg)["survey_point"]
     assert again.exceptAll(tables["survey_point"]).count() == 0
+
+
+def test_a_path_without_a_run_id_fails(spark, tmp_path):
+    (tmp_path / "pic.csv").write_text("5.0,00012\n")
+    with pytest.raises(Exception, match="no run id"):
+        landing.read_landed(spark, str(tmp_path / "pic.csv"), "pic").collect()
+
+
+def test_publishing_a_day_keeps_the_others(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = spark.createDataFrame([("2022-01-01", "a_1", 1), ("2022-01-02", "b_1", 2)], "date string, file_name string, v int")
+    sinks.write_table(days, path, ["date"], ["file_name"])
+    again = days.filter("date = '2022-01-02'").withColumn("v", F.lit(5))
+    sinks.write_table(again, path, ["date"], ["file_name"])
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 5]

@@ -6,8 +6,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from roadbed.operators.lines import place_on_lines
 from roadbed.functions import geometry, identifiers, numbers, predicates
 from roadbed.operators import gps, joins, lines, reports, series
+from roadbed.operators import images
 from roadbed.operators.images import dedupe_images
 from roadbed.schema import BASIC, WITH_EXPORT, Profile
 
@@ -302,3 +304,24 @@ def test_missing_positions_can_count_as_lost(spark):
     points = _points(spark, rows)
     assert gps.gps_islands(points).count() == 0
     assert values(gps.gps_islands(points, Profile(null_is_lost=True)), "gap_start") == [(25.0,)]
+
+
+@pytest.mark.parametrize("step", [20 / 7, 20 / 11, 8 / 3])
+@pytest.mark.parametrize("max_rows", [None, 3])
+def test_each_target_on_a_vertex_is_placed_once(spark, step, max_rows):
+    ids = spark.range(40).withColumnRenamed("id", "k")
+    vertex = F.explode(F.sequence(F.lit(0), F.lit(8))).alias("m")
+    vertices = ids.select("k", vertex).select(
+        "k", F.col("m").cast("double").alias("m"), (F.col("m") * step * 1e-6).alias("lon"), F.lit(1.0).alias("lat")
+    )
+    targets = ids.select("k", ((F.col("k") % 9) / 8).alias("fraction"))
+    got = place_on_lines(targets, vertices.union(vertices.limit(5)), ["k"], max_rows=max_rows).collect()
+    assert sorted(r.k for r in got) == list(range(40))
+    assert all(abs(r.new_lon - r.k % 9 * step * 1e-6) < 1e-15 for r in got)
+
+
+def test_copy_manifest_reads_the_run_from_the_name(spark):
+    names = ["20220201_12_00010.jpg", "20220201_2_00015.jpg"]
+    rows = spark.createDataFrame([(n, f"a/{n}") for n in names], "filename string, directory string")
+    sources = [r.src for r in images.image_copy_manifest(rows).orderBy("src").collect()]
+    assert [s.split("\\")[2] for s in sources] == ["20220201_12", "20220201_2"]
