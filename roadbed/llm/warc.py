@@ -29,7 +29,7 @@ from roadbed.session import stage_root
 ROLL_BYTES = 32 << 20
 #: payloads of fewer bytes are never revisits
 MIN_REVISIT_BYTES = 100
-ROWS_PER_SHARD = 4000
+ROWS_PER_SHARD = 500
 #: records carry one date, that equal rows may give equal files
 DATE = "1970-01-01T00:00:00Z"
 
