@@ -30,6 +30,8 @@ ROLL_BYTES = 32 << 20
 #: payloads of fewer bytes are never revisits
 MIN_REVISIT_BYTES = 100
 ROWS_PER_SHARD = 500
+#: tasks that read an archive, at most
+MAX_READ_TASKS = 20_000
 #: records carry one date, that equal rows may give equal files
 DATE = "1970-01-01T00:00:00Z"
 
@@ -249,8 +251,10 @@ def read_warc(spark: SparkSession, folder: str, with_payload: bool = True) -> Da
                 if rows:
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    files = spark.read.parquet(f"{folder}/manifest").select("name").repartition("name")
-    return files.mapInArrow(read, _RECORDS)
+    files = spark.read.parquet(f"{folder}/manifest").select("name")
+    # names are few bytes but files are not: a fixed number is not coalesced
+    tasks = max(1, min(files.count(), MAX_READ_TASKS))
+    return files.repartition(tasks, "name").mapInArrow(read, _RECORDS)
 
 
 def new_archive(spark: SparkSession) -> str:
