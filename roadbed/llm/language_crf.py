@@ -211,7 +211,8 @@ def train(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> Crf:
     known = known.filter(~held_out(F.col("doc_id")))
     share = int(1e9 * min(1.0, max_docs / max(1, known.count())))
     sample = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000_000)) < share)
-    blob = sample.coalesce(1).mapInArrow(_learn, "model binary").first()[0]
+    # the scan stays spread out; only the sample meets in one task
+    blob = sample.repartition(1).mapInArrow(_learn, "model binary").first()[0]
     with np.load(io.BytesIO(blob)) as saved:
         return Crf(saved["labels"].tolist(), saved["table"], saved["steps"])
 
