@@ -123,7 +123,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) ->
     # max_rows ids, some hundred kilobytes; a tenth more for the draw
     rows = texts(docs).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id", "text"])
     rows = rows.select("doc_id", F.col("label").cast("int").alias("label"), "text")
-    learned = rows.coalesce(1).mapInArrow(_learn, "bucket bigint, weight double").collect()
+    # the scan stays spread out; only the sample meets in one task
+    learned = rows.repartition(1).mapInArrow(_learn, "bucket bigint, weight double").collect()
     found = [r for r in learned if r.bucket >= 0]
     bias = next((r.weight for r in learned if r.bucket < 0), -40.0)
     index = np.array([r.bucket for r in found], np.int64)
