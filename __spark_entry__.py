@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 import oracle_sql as _oracle
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ from roadbed.operators import (
 )
 from roadbed.operators import lines as lines_on
 from roadbed.plans import pipeline
-from roadbed.schema import LASER, METRICS, Profile
+from roadbed.schema import KEY, LASER, METRICS, WITH_EXPORT, Profile
 from roadbed.session import stage, stage_root
 from roadbed.sources import landing, sinks
 from roadbed.sources import sample_views as views
@@ -62,8 +63,13 @@ def plain(df: DataFrame, *columns: str) -> DataFrame:
             value = F.round(value * 1e9).cast("bigint")
         elif isinstance(kind, T.DecimalType):
             value = (value * 10**kind.scale).cast("bigint")
-        elif isinstance(kind, (T.DoubleType, T.IntegerType)):
+        elif isinstance(kind, T.IntegerType):
             value = value.cast("bigint")
+        elif isinstance(kind, T.DoubleType):
+            # never cut: a fraction would make different values compare equal
+            whole = value == F.rint(value)
+            odd = F.raise_error(F.concat(F.lit(f"{field.name} is not whole: "), value.cast("string")))
+            value = F.when(whole | value.isNull(), value.cast("bigint")).otherwise(odd.cast("bigint"))
         elif isinstance(kind, T.DateType):
             value = value.cast("string")
         shown.append(value.alias(field.name))
@@ -92,6 +98,38 @@ def _source_merge(spark, sf):
     return plain(landing.build_laser(*views.extracts(spark, sf)))
 
 
+def _by_run(df: DataFrame, name: str, fmt: str) -> str:
+    """Writes ``df`` as files in a folder per run, without the run among the columns."""
+    path = f"{stage_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy("file_name").option("header", False).format(fmt).save(path)
+    return f"{path}/*"
+
+
+def _landed_key(spark, sf):
+    fields = [f.name for f in KEY]
+    path = _by_run(views.key(spark, sf).select(*fields, "file_name"), "key", "csv")
+    return plain(landing.read_landed(spark, path, "key"), *fields, "file_name")
+
+
+def _landed_pic(spark, sf):
+    path = _by_run(views.pic(spark, sf).select("chainage_pic", "frame_number", "file_name"), "pic", "csv")
+    return plain(landing.read_landed(spark, path, "pic"), "chainage_pic", "frame_number", "file_name")
+
+
+def _raw_extracts(spark, sf):
+    """The four instruments read from files by run, then merged."""
+    named = zip(views.extracts(spark, sf), ("gps", "iri", "tpl", "mpd"))
+    read = [landing.read_extract(spark, _by_run(df, name, "parquet")) for df, name in named]
+    return plain(landing.build_laser(*read))
+
+
+def _section_lookup(spark, sf):
+    path = f"{stage_root(spark)}/sections-{uuid.uuid4().hex}"
+    dim = views.section_dim(spark, sf)
+    dim.withColumns({c: F.col(c).cast("string") for c in ("route", "control")}).write.parquet(path)
+    return plain(landing.read_section_dim(spark, path))
+
+
 def _landed_csv(spark, sf):
     """Measured points written as header-less CSV, blank where NULL, and landed."""
     path = f"{stage_root(spark)}/landed-{uuid.uuid4().hex}"
@@ -366,9 +404,16 @@ def _image_copy_manifest(spark, sf):
 
 
 def _insert_statements(spark, sf):
-    renamed = images.dedupe_images(_images(spark, sf)[2])
-    columns = ["survey_point_id", "survey_id", "km", "filename"]
-    return sinks.to_insert_statements(renamed.select(*columns), "survey_image")
+    """All columns of the three published tables; lines are tested on their own."""
+    lines, local, pictures = _images(spark, sf)
+    surveyed = lines.drop("the_geom", *pipeline.SURVEY_HELPERS)
+    tables = {
+        "survey": surveyed,
+        "survey_point": survey_points.build_survey_point(local),
+        "survey_image": images.dedupe_images(pictures),
+    }
+    statements = [sinks.to_insert_statements(plain(df), name) for name, df in tables.items()]
+    return statements[0].union(statements[1]).union(statements[2])
 
 
 def _interval_lengths(spark, sf):
@@ -451,6 +496,37 @@ def _pipeline_survey_image(spark, sf):
     return plain(images.dedupe_images(pictures))
 
 
+def _pipeline_survey_point_local(spark, sf):
+    return plain(_conditioned_local(spark, sf)[1])
+
+
+def _qa_unrepaired(spark, sf):
+    """Lost points of gaps without a measured point on both sides."""
+    stages = pipeline.condition_points(_inputs(spark, sf), CHECKED)
+    left = gps.unrepaired_points(stages["points"], stages["gaps"], CHECKED)
+    return plain(left, *_GAP, "chainage", "new_p_min", "new_p_max")
+
+
+def _qa_duplicate_images_after(spark, sf):
+    """Names that are used more than once also after the renaming."""
+    points, local = _conditioned_local(spark, sf)
+    pictures = stage(images.build_survey_image(stage(local, "local"), points, CHECKED), "images")
+    return plain(reports.duplicate_images(images.dedupe_images(pictures)))
+
+
+#: the export programme as shipped, made comparable like ``CHECKED``
+EXPORTED = replace(WITH_EXPORT, cap_mode="clamp", stop_above=1, report_above=1)
+
+
+def _pipeline_export_profile_survey_point(spark, sf):
+    tables = pipeline.run_pipeline(_inputs(spark, sf), EXPORTED)
+    return plain(tables["survey_point"], *_PUBLISHED)
+
+
+def _pipeline_interval_export(spark, sf):
+    return plain(pipeline.run_pipeline(_inputs(spark, sf), EXPORTED)["interval_export"])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Every GPS gap: its link, first and last chainage, points and metres."""
     return _gps_islands(spark, "/root/testdata/sf0.001")
@@ -462,6 +538,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return more | {
         "source_merge": _source_merge,
         "landed_csv": _landed_csv,
+        "landed_key": _landed_key,
+        "landed_pic": _landed_pic,
+        "raw_extracts": _raw_extracts,
+        "section_lookup": _section_lookup,
         "pavement_events": _pavement_events,
         "decode_link": _decode_link,
         "grid_points": _grid_points,
@@ -509,6 +589,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_survey": _pipeline_survey,
         "pipeline_survey_point": _pipeline_survey_point,
         "pipeline_survey_image": _pipeline_survey_image,
+        "pipeline_survey_point_local": _pipeline_survey_point_local,
+        "pipeline_export_profile_survey_point": _pipeline_export_profile_survey_point,
+        "pipeline_interval_export": _pipeline_interval_export,
+        "qa_unrepaired": _qa_unrepaired,
+        "qa_duplicate_images_after": _qa_duplicate_images_after,
     }
 
 

@@ -74,6 +74,24 @@ def inputs(q: Sql) -> Sql:
     return q
 
 
+def rutting_between(q: Sql) -> Sql:
+    """Measured points whose rutting between 10 m values is their mean."""
+    inputs(q)
+    rut = ["rutt_right", "rutt_left", "rutting"]
+    landed = q.parts.pop("laser")
+    q.add("landed", landed)
+    q.add(
+        "tens",
+        f"select file_name, chainage + 5 as spot, {', '.join(f'({c} + lag({c}) over w + 1)//2 as {c}' for c in rut)} "
+        "from landed where chainage % 10 = 0 window w as (partition by file_name order by chainage)",
+    )
+    return q.add(
+        "laser",
+        f"""select l.* replace ({', '.join(f'case when t.spot is null then l.{c} else t.{c} end as {c}' for c in rut)})
+            from landed l left join tens t on t.file_name = l.file_name and t.spot = l.chainage""",
+    )
+
+
 def in_events(q: Sql) -> Sql:
     inputs(q)
     q.add(
@@ -357,8 +375,7 @@ def point_local(q: Sql, pts="pts", laser="laser") -> Sql:
     q.add(
         "lent",
         f"""select {_c(_LINK)}, spot as chainage, {_AVG} from (
-              select *, case when event_str - chainage >= 0 then event_str when chainage - event_str < 5 then event_str
-                when event_end - chainage >= 0 then event_end when chainage - event_end < 5 then event_end end as spot
+              select *, case when chainage - event_str < 5 then event_str when chainage - event_end < 5 then event_end end as spot
               from {pts} where event_str between chainage - 6 and chainage + 6 or event_end between chainage - 4 and chainage + 4)
             where spot <> chainage group by {_c(_LINK)}, spot""",
     )
@@ -379,15 +396,16 @@ def point_local(q: Sql, pts="pts", laser="laser") -> Sql:
     q.add("means", f"select file_name, chainage, {_AVG} from values_at group by file_name, chainage")
     q.add(
         "grid_rows",
-        f"""select distinct {_c([*_LINK, 'chainage'], 'a')}, b.lon, b.lat, {_c(_METRICS, 'm')}
+        f"""select {_c([*_LINK, 'chainage'], 'a')}, b.lon, b.lat, {_c(_METRICS, 'm')}, bool_or(b.gps_imputed) as gps_imputed
             from {pts} a join {pts} b on {_on([*_LINK, 'chainage'], 'a', 'b')}
             join means m on m.file_name = a.file_name and m.chainage = a.chainage
-            where a.chainage between a.event_str and a.event_end and a.chainage % 25 = 0""",
+            where a.chainage between a.event_str and a.event_end and a.chainage % 25 = 0 group by all""",
     )
     q.add(
         "rows25",
         f"""select r.*, s.survey_id, s.survey_code, s.run_code, s.lane_group, s.km_start as km0
-            from (select * from start_rows union select * from grid_rows) r
+            from (select * exclude (gps_imputed), bool_or(gps_imputed) as gps_imputed
+                  from (select *, false as gps_imputed from start_rows union all select * from grid_rows) group by all) r
             left join survey s on {_on(_LINK, 'r', 's')} where r.link_id <> 'construction'""",
     )
     order = f"order by chainage, lon, lat, {', '.join(f'{c} nulls last' for c in _METRICS)}"
@@ -396,12 +414,15 @@ def point_local(q: Sql, pts="pts", laser="laser") -> Sql:
         f"""select *, row_number() over (partition by {_c(_LINK)} {order}, survey_id nulls last) - 1 as order_row,
               row_number() over (partition by {_c(_LINK)}, survey_id {order}) - 1 as n_survey from rows25""",
     )
-    caps = ", ".join(f"least({c}, 800) as {c}" for c in ("iri_right", "iri_left", "iri"))
+    three = ("iri_right", "iri_left", "iri")
+    caps = ", ".join(f"least({c}, 800) as {c}" for c in three)
+    marks = ", ".join(f"{c} as {c}_raw, coalesce({c} > 800, false) as {c}_imputed" for c in three)
     return q.add(
         "local",
         f"""select row_number() over (order by km nulls last, file_name, date, link_id, survey_id nulls last, order_row) as survey_point_id, *
             from (select order_row, case when lane_group > 0 then km0 + 25*n_survey when lane_group < 0 then km0 - 25*n_survey end as km,
-              chainage, link_id, date, lon, lat, file_name, {caps}, {_c(_METRICS[3:])}, survey_id, survey_code, run_code from counted)""",
+              chainage, link_id, date, lon, lat, file_name, {caps}, {_c(_METRICS[3:])}, survey_id, survey_code, run_code,
+              {marks}, gps_imputed from counted)""",
     )
 
 
@@ -489,7 +510,8 @@ def _points_out(columns, relation):
 def _local_out(relation="local", columns=None):
     columns = columns or [
         "survey_point_id", "order_row", "km", "chainage", "link_id", "date", "file_name",
-        *_METRICS, "survey_id", "survey_code", "run_code",
+        *_METRICS, "survey_id", "survey_code", "run_code", "gps_imputed",
+        *[f"{c}_{s}" for c in ("iri_right", "iri_left", "iri") for s in ("raw", "imputed")],
     ]
     return _points_out(columns, relation)
 
@@ -557,15 +579,7 @@ def oracle_sql() -> dict[str, str]:
           iri_left as iri_left_raw, iri_left > 800 as iri_left_imputed, true as in_range from laser"""
     )
     rut = ["rutt_right", "rutt_left", "rutting"]
-    q.add(
-        "tens",
-        f"select file_name, chainage + 5 as spot, {', '.join(f'({c} + lag({c}) over w + 1)//2 as {c}' for c in rut)} "
-        "from laser where chainage % 10 = 0 window w as (partition by file_name order by chainage)",
-    )
-    out["interpolate_rutting"] = q.select(
-        f"""select l.file_name, l.chainage, {', '.join(f'case when t.spot is null then l.{c} else t.{c} end as {c}' for c in rut)}
-          from laser l left join tens t on t.file_name = l.file_name and t.spot = l.chainage"""
-    )
+    out["interpolate_rutting"] = rutting_between(Sql()).select(f"select file_name, chainage, {_c(rut)} from laser")
 
     q = in_events(Sql())
     out["band_join_points"] = q.select(_points_out(_POINT_COLUMNS, "pts0"))
@@ -728,16 +742,27 @@ def oracle_sql() -> dict[str, str]:
     out["interval_export"] = q.select(
         f"select {_c(export_columns)}, {deg('lon')}, {deg('lat')} from exported"
     )
-    text = [
-        "coalesce(cast(survey_point_id as varchar), 'NULL')",
-        "coalesce(cast(survey_id as varchar), 'NULL')",
-        "coalesce(cast(km as varchar), 'NULL')",
-        "coalesce('''' || replace(filename, '''', '''''') || '''', 'NULL')",
-    ]
+    quoted = ["link_id", "survey_code", "run_code", "date", "remark", "run_new", "directory", "filename", "imagepath", "file_name"]
+
+    def inserts(table, columns, rows):
+        text = " || ', ' || ".join(
+            f"coalesce('''' || replace({c}, '''', '''''') || '''', 'NULL')" if c in quoted
+            else f"coalesce(cast({c} as varchar), 'NULL')"
+            for c in (f'"{c}"' if c == "interval" else c for c in columns)
+        )
+        return f"select 'INSERT INTO {table} ({_c(columns)}) VALUES (' || {text} || ');' as statement from ({rows})"
+
+    surveyed = [
+        *_SURVEY_COLUMNS, "length", "distance_odo", "distance_gps", "year", "survey_type", "date", "remark", "run_new", "interval",
+    ]
+    pictured = [
+        "directory", "filename", "date", "img_id", "km", "imagepath", "lon", "lat", "survey_id", "remark",
+        "file_name", "link_id", "survey_point_id",
+    ]
     out["insert_statements"] = q.select(
-        "select 'INSERT INTO survey_image (survey_point_id, survey_id, km, filename) VALUES (' || "
-        + " || ', ' || ".join(text)
-        + " || ');' as statement from renamed"
+        inserts("survey", surveyed, _SURVEY_OUT) + " union all "
+        + inserts("survey_point", [*published, "lon", "lat", "remark"], f"select {_c(published)}, {deg('lon')}, {deg('lat')}, {remark} from local")
+        + " union all " + inserts("survey_image", pictured, _images_out("renamed"))
     )
 
     q = points(Sql())
@@ -753,4 +778,43 @@ def oracle_sql() -> dict[str, str]:
     )
     renamed(q)
     out["pipeline_survey_image"] = q.select(_images_out("renamed"))
+    out["pipeline_survey_point_local"] = q.select(_local_out())
+    out["qa_duplicate_images_after"] = q.select(
+        "select filename, count(filename) as cc from renamed group by filename having count(filename) > 1 or filename is null"
+    )
+    out["qa_unrepaired"] = q.select(
+        f"""select {dated}, gap_start, gap_end, c_p, meter, chainage, new_p_min, new_p_max from gaps g
+          where exists (select 1 from smoothed r where {LOST} and {_on([*_LINK, 'chainage'], 'r', 'g')})"""
+    )
+
+    # the export programme: rutting between 10 m values is worked out anew first
+    q = rutting_between(Sql())
+    gaps(points(q), "pts")
+    snapped(q, "pts")
+    repaired(q, "snapped")
+    smoothed(q, "repaired")
+    point_local(q, "smoothed")
+    images(q, "smoothed")
+    renamed(q)
+    exported(q, "renamed")
+    out["pipeline_export_profile_survey_point"] = q.select(
+        f"select {_c(published)}, {deg('lon')}, {deg('lat')}, {remark} from local"
+    )
+    out["pipeline_interval_export"] = q.select(
+        f"select {_c(export_columns)}, {deg('lon')}, {deg('lat')} from exported"
+    )
+
+    # files by run, read back
+    q = inputs(Sql())
+    out["landed_key"] = q.select(
+        f"""select file_name, event_str, event_end, right(section_id, 2) as event_num, rtrim(event_type) as event_type, event_name, link_id,
+          section_id, km_start, km_end, length, rtrim(lane_no) as lane_no, rtrim(survey_date) as survey_date,
+          {deg('lon_str')}, {deg('lat_str')}, {deg('lon_end')}, {deg('lat_end')} from key_v"""
+    )
+    out["landed_pic"] = q.select("select file_name, chainage_pic, frame_number from pic_v")
+    out["raw_extracts"] = out["source_merge"]
+    out["section_lookup"] = (
+        "select road_id, cast(road_revision as bigint) as road_revision, cast(section_revision as bigint) as section_revision, "
+        f"section_part_id, route, control from ({views.SECTION_DIM})"
+    )
     return out

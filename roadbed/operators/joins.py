@@ -14,6 +14,10 @@ def _column(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+#: buckets of an interval listed at once
+_RUN = 4096
+
+
 def band_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -38,11 +42,25 @@ def band_join(
     def bucket_of(value: Column) -> Column:
         return F.floor(value / F.lit(float(bucket))).cast("bigint")
 
+    def run_of(value: Column) -> Column:
+        return F.floor(bucket_of(value) / _RUN).cast("bigint")
+
     bounded = (
         intervals.withColumns({lo: _column(low) - pad, hi: _column(high) + pad})
         # sequence() would count downwards for a reversed interval
         .filter(F.col(lo) <= F.col(hi))
-        .withColumn(slot, F.explode(F.sequence(bucket_of(F.col(lo)), bucket_of(F.col(hi)))))
+        # in two steps, so that a very long interval is many rows and no long list
+        .withColumn("__run", F.explode(F.sequence(run_of(F.col(lo)), run_of(F.col(hi)))))
+        .withColumn(
+            slot,
+            F.explode(
+                F.sequence(
+                    F.greatest(bucket_of(F.col(lo)), F.col("__run") * _RUN),
+                    F.least(bucket_of(F.col(hi)), F.col("__run") * _RUN + _RUN - 1),
+                )
+            ),
+        )
+        .drop("__run")
     )
     placed = points.withColumns({"__at": _column(point)}).withColumn(slot, bucket_of(F.col("__at")))
     joined = placed.join(bounded, [*by, slot])
@@ -88,17 +106,43 @@ def distance_join(
     by: Sequence[str] = ("file_name",),
     place: tuple[str, str] = ("lon", "lat"),
     point: tuple[str, str] = ("point_lon", "point_lat"),
+    crowd: int = _CROWD,
 ) -> DataFrame:
     """Pairs of places and points no further apart than ``radius`` (planar).
 
     ``places`` is the smaller side: it is listed in every grid cell it reaches
-    into, a point only in its own, so a pair meets once.
+    into, a point only in its own, so a pair meets once. Cells that hold more
+    than ``crowd`` points, such as the one of all lost points, are spread over
+    several tasks.
     """
     size = radius * _CELL_RADII
     left = _touching_cells(places, *place, radius, size)
     right = _in_cell(points, *point, size)
-    pairs = left.join(right, [*by, *_CELL])
-    return pairs.filter(_close(*place, *point, radius)).drop(*_CELL)
+    left, right, on = _spread(left, right, [*by, *_CELL], points.columns, crowd)
+    pairs = left.join(right, on)
+    return pairs.filter(_close(*place, *point, radius)).drop(*_CELL, "__salt")
+
+
+def _spread(
+    left: DataFrame, right: DataFrame, cell: list[str], told_apart: Sequence[str], crowd: int
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides and their join keys, with a salt where ``right`` crowds a cell.
+
+    Rows of a crowded cell are dealt by the columns that tell them apart; the
+    other side is repeated for each part of that cell only.
+    """
+    sizes = right.groupBy(*cell).agg(F.count("*").alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= crowd:
+        return left, right, cell
+    crowded = sizes.filter(F.col("n") > crowd).select(
+        *cell, F.ceil(F.col("n") / crowd).cast("int").alias("__salts")
+    )
+    salts = F.coalesce("__salts", F.lit(1))
+    salt = F.pmod(F.xxhash64(*told_apart), salts).cast("int")
+    right = right.join(crowded, cell, "left").withColumn("__salt", salt).drop("__salts")
+    each = F.explode(F.sequence(F.lit(0), salts - 1))
+    left = left.join(crowded, cell, "left").withColumn("__salt", each).drop("__salts")
+    return left, right, [*cell, "__salt"]
 
 
 def distinct_positions(points: DataFrame, by: Sequence[str] = ("file_name",)) -> DataFrame:
@@ -131,20 +175,7 @@ def near_places(
     size, cell = radius * _CELL_RADII, [*by, *_CELL]
     right = _in_cell(positions, "p_lon", "p_lat", size)
     left = _touching_cells(places.distinct(), "lon", "lat", radius, size)
-    sizes = right.groupBy(*cell).agg(F.count("*").alias("n"))
-    on = cell
-    if (sizes.agg(F.max("n")).first()[0] or 0) > crowd:
-        on = [*cell, "__salt"]
-        crowded = sizes.filter(F.col("n") > crowd).select(
-            *cell, F.ceil(F.col("n") / crowd).cast("int").alias("__salts")
-        )
-        salts = F.coalesce("__salts", F.lit(1))
-        salt = F.pmod(F.xxhash64("p_lon", "p_lat"), salts).cast("int")
-        right = right.join(crowded, cell, "left").withColumn("__salt", salt).drop("__salts")
-        left = left.join(crowded, cell, "left").withColumn(
-            "__salt", F.explode(F.sequence(F.lit(0), salts - 1))
-        )
-        left = left.drop("__salts")
+    left, right, on = _spread(left, right, cell, ["p_lon", "p_lat"], crowd)
     right = right.withColumnsRenamed({c: f"p_{c}" for c in on})
     condition = _close("lon", "lat", "p_lon", "p_lat", radius)
     for column in on:

@@ -15,6 +15,14 @@ from roadbed.session import stage
 LINK = ["file_name", "date", "link_id"]
 
 
+#: values of the 25 m points that are capped once more, after smoothing
+CAPPED = ("iri_right", "iri_left", "iri")
+
+
+def _any_imputed() -> Column:
+    return F.max(F.coalesce("gps_imputed", F.lit(False))).alias("gps_imputed")
+
+
 def _means() -> list[Column]:
     return [F.avg(c).cast("decimal(8,2)").alias(c) for c in METRICS]
 
@@ -23,18 +31,13 @@ def event_start_rows(points: DataFrame) -> DataFrame:
     """Values at event starts that lie off the measured grid.
 
     Points near an event end lend their values to it: to the start if they lie
-    before it or less than 5 m past it, else to the end. A point at the very
-    chainage of the end is no neighbour. The values are averaged per end before
-    they meet the event starts.
+    less than 5 m past it, or anywhere before it, else to the end by the same
+    rule. A point at the very chainage of the end is no neighbour. The values
+    are averaged per end before they meet the event starts.
     """
     c, start, end = F.col("chainage"), F.col("event_str"), F.col("event_end")
     near = start.between(c - 6, c + 6) | end.between(c - 4, c + 4)
-    lent_to = (
-        F.when(start - c >= 0, start)
-        .when(c - start < 5, start)
-        .when(end - c >= 0, end)
-        .when(c - end < 5, end)
-    )
+    lent_to = F.when(c - start < 5, start).when(c - end < 5, end)
     lent = (
         points.filter(near)
         .withColumn("at", lent_to)
@@ -53,7 +56,8 @@ def event_start_rows(points: DataFrame) -> DataFrame:
         )
         .distinct()
     )
-    return starts.join(lent, [*LINK, "chainage"]).select(*LINK, "chainage", "lon", "lat", *METRICS)
+    rows = starts.join(lent, [*LINK, "chainage"])
+    return rows.select(*LINK, "chainage", "lon", "lat", *METRICS, F.lit(False).alias("gps_imputed"))
 
 
 def grid_rows(points: DataFrame, laser: DataFrame, cfg: Profile = Profile()) -> DataFrame:
@@ -81,11 +85,11 @@ def grid_rows(points: DataFrame, laser: DataFrame, cfg: Profile = Profile()) ->
     means = grid.select(*here, *values).union(ahead).distinct().groupBy(*here).agg(*_means())
     links = grid.select(*LINK, "chainage").distinct()
     places = points.filter(on & F.col("lon").isNotNull() & F.col("lat").isNotNull())
-    places = places.select(*LINK, "chainage", "lon", "lat").distinct()
+    places = places.groupBy(*LINK, "chainage", "lon", "lat").agg(_any_imputed())
     return (
         links.join(places, [*LINK, "chainage"])
         .join(means, here)
-        .select(*LINK, "chainage", "lon", "lat", *METRICS)
+        .select(*LINK, "chainage", "lon", "lat", *METRICS, "gps_imputed")
     )
 
 
@@ -97,9 +101,15 @@ def build_survey_point_local(
     start_id: int | None = None,
     max_rows: int | None = None,
 ) -> DataFrame:
-    """25 m points with their order and kilometre in the link."""
-    rows = event_start_rows(points).union(grid_rows(points, laser, cfg)).distinct()
+    """25 m points with their order and kilometre in the link.
+
+    Means above the cap are replaced as single values are: ``<value>_raw`` has
+    the mean and ``<value>_imputed`` marks it. ``gps_imputed`` marks positions
+    that were interpolated.
+    """
+    rows = event_start_rows(points).union(grid_rows(points, laser, cfg))
     rows = rows.filter(F.col("link_id") != "construction")
+    rows = rows.groupBy(*LINK, "chainage", "lon", "lat", *METRICS).agg(_any_imputed())
     attributes = survey.select(
         *LINK, "survey_id", "survey_code", "run_code", "lane_group", F.col("km_start").alias("km0")
     )
@@ -122,6 +132,9 @@ def build_survey_point_local(
         drawn = capped(F.col(value), cfg.cap_limit, cfg.cap_mode, [F.lit(value), *keys])
         return F.when(over, drawn).otherwise(kept).cast("decimal(8,2)").alias(value)
 
+    def over_limit(value: str) -> Column:
+        return F.coalesce(F.col(value) > cfg.cap_limit, F.lit(False)).alias(f"{value}_imputed")
+
     numbered = in_survey.row_number("n_survey").to_df()
     described = numbered.select(
         (F.col("n_link") - 1).alias("order_row"),
@@ -140,6 +153,9 @@ def build_survey_point_local(
         "survey_id",
         "survey_code",
         "run_code",
+        *[F.col(c).cast("decimal(8,2)").alias(f"{c}_raw") for c in CAPPED],
+        *[over_limit(c) for c in CAPPED],
+        "gps_imputed",
     )
     start = cfg.survey_point_start_id if start_id is None else start_id
     id_order = ["km", "file_name", "date", "link_id", "survey_id", "order_row"]

@@ -13,6 +13,23 @@ from roadbed.session import stage
 from roadbed.sources.sinks import to_insert_statements, write_csv, write_lines, write_table
 
 
+#: keys the survey table carries beside what is published of it
+SURVEY_HELPERS = ("event_name", "file_name", "line_parts")
+#: the order reports are read in; missing values last
+REPORT_ORDER = {
+    "qa_links_dropped": ["link_id", "date", "file_name"],
+    "qa_gps_lost": ["link_id", "date", "file_name"],
+    "qa_endpoints": ["chainage", "link_id", "file_name", "direction"],
+    "qa_gap_one_sided": ["gap_start", "link_id", "file_name", "chainage"],
+    "qa_unrepaired": ["gap_start", "link_id", "file_name", "chainage"],
+    "qa_missing": ["chainage", "link_id", "file_name"],
+    "qa_link_rules": ["id"],
+    "qa_duplicate_positions": ["min", "count", "link_id", "file_name", "lon", "lat"],
+    "qa_duplicate_images": ["filename"],
+    "qa_duplicate_images_after": ["filename"],
+}
+
+
 @dataclass(frozen=True)
 class Inputs:
     """Landed tables of any number of runs."""
@@ -88,10 +105,13 @@ def run_pipeline(
             assembled, laser, inputs.key, cfg, stages["track"]
         ),
         "qa_gap_one_sided": reports.one_sided_gaps(assembled, gaps, cfg),
+        "qa_unrepaired": gps.unrepaired_points(points, gaps, cfg),
         "qa_missing": reports.missing_values(assembled, cfg),
         "qa_link_rules": reports.link_rules(assembled),
         "qa_duplicate_positions": reports.duplicate_positions(before_or_after, cfg),
         "qa_duplicate_images": reports.duplicate_images(pictures),
+        # names the renaming has made equal to others show here
+        "qa_duplicate_images_after": reports.duplicate_images(renamed),
     }
     if cfg.interval_export and inputs.section_dim is not None:
         # after the renaming, so that image_url names the final file
@@ -102,17 +122,20 @@ def run_pipeline(
 
 
 def publish(tables: dict[str, DataFrame], folder: str) -> None:
-    """Write the published tables, and the scripts that go with them."""
+    """Write the published tables, the scripts that go with them, and the reports."""
     # by day: a folder for each run would be too many
     by_day = ("survey", "survey_point_local", "survey_image")
     for name in ("survey", "survey_line_parts", "survey_point_local", "survey_point", "survey_image"):
         keys = (["date"], ["file_name"]) if name in by_day else ()
         write_table(tables[name], f"{folder}/{name}", *keys)
     for name in ("survey", "survey_point", "survey_image"):
-        statements = to_insert_statements(tables[name], name)
+        published = tables[name].drop(*SURVEY_HELPERS) if name == "survey" else tables[name]
+        statements = to_insert_statements(published, name)
         write_lines(statements, "statement", f"{folder}/sql/{name}")
     write_lines(tables["image_dirs"], "line", f"{folder}/mkdir")
     write_lines(tables["image_copy_manifest"], "line", f"{folder}/copy")
+    for name, order in REPORT_ORDER.items():
+        write_csv(tables[name], f"{folder}/reports/{name}", order)
     if "interval_export" in tables:
         order = ["road_code", "section_code", "section_part_id", "km_start", "km_end"]
         write_csv(tables["interval_export"], f"{folder}/interval_export", order)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadbed.functions.geometry import line_wkt, point_wkt
 from roadbed.operators.ordering import with_row_id
 
 _BARE = (T.NumericType, T.BooleanType)
@@ -49,9 +50,17 @@ def write_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
     csv_ready(indexed(df, order)).write.mode("overwrite").option("header", True).csv(path)
 
 
+def _is_position(kind: T.DataType) -> bool:
+    return isinstance(kind, T.StructType) and {"lon", "lat"} <= set(kind.names)
+
+
 def _literal(field: T.StructField) -> Column:
     value = F.col(field.name)
-    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+    if _is_position(field.dataType):
+        text = point_wkt(value.lon, value.lat)
+    elif isinstance(field.dataType, T.ArrayType) and _is_position(field.dataType.elementType):
+        text = line_wkt(value)
+    elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
         text = F.to_json(value)
     else:
         text = value.cast("string")
@@ -62,7 +71,10 @@ def _literal(field: T.StructField) -> Column:
 
 
 def to_insert_statements(df: DataFrame, table: str) -> DataFrame:
-    """One INSERT statement per row, in the column ``statement``."""
+    """One INSERT statement per row, in the column ``statement``.
+
+    Positions and lines of them are written as WKT.
+    """
     head = f"INSERT INTO {table} ({', '.join(df.columns)}) VALUES ("
     values = F.concat_ws(", ", *[_literal(f) for f in df.schema])
     return df.select(F.concat(F.lit(head), values, F.lit(");")).alias("statement"))
