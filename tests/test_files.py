@@ -66,6 +66,16 @@ def test_insert_statements(spark):
     assert got == "INSERT INTO t (a, b, c, d, e) VALUES (1, NULL, 'it''s', '2022-02-14', true);"
 
 
+def test_insert_statements_write_wkt(spark):
+    df = spark.sql(
+        "select named_struct('lon', 100.5D, 'lat', 13.7D) as p, "
+        "array(named_struct('m', 0D, 'lon', 1.5D, 'lat', 2D), named_struct('m', 5D, 'lon', 1.75D, 'lat', 2D)) as g, "
+        "cast(null as array<struct<lon: double, lat: double>>) as n"
+    )
+    got = sinks.to_insert_statements(df, "t").first()[0]
+    assert got == "INSERT INTO t (p, g, n) VALUES ('POINT(100.5 13.7)', 'LINESTRING(1.5 2.0,1.75 2.0)', NULL);"
+
+
 def test_publish(spark, sf_dir, tmp_path):
     inputs = pipeline.Inputs(
         *[f(spark, sf_dir) for f in (views.laser, views.key, views.pic, views.section_dim)]
@@ -82,6 +92,11 @@ def test_publish(spark, sf_dir, tmp_path):
         text = spark.read.text(f"{tmp_path}/sql/{name}")
         assert text.count() == tables[name].count()
         assert text.filter(~F.col("value").startswith(f"INSERT INTO {name} (")).count() == 0
+    statement = spark.read.text(f"{tmp_path}/sql/survey").first()[0]
+    assert "'LINESTRING(" in statement and "line_parts" not in statement
+    for name, order in pipeline.REPORT_ORDER.items():
+        report = spark.read.option("header", True).csv(f"{tmp_path}/reports/{name}")
+        assert report.count() == tables[name].count() and set(order) <= set(tables[name].columns)
     assert spark.read.text(f"{tmp_path}/mkdir").filter("value like 'mkdir E:%'").count() > 0
     assert spark.read.text(f"{tmp_path}/copy").filter("value like 'copy E:%'").count() > 0
     export = spark.read.option("header", True).csv(f"{tmp_path}/interval_export")

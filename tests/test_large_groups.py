@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from roadbed.operators import export, gps, images, series, survey, survey_points
+from roadbed.operators import export, gps, images, joins, series, survey, survey_points
 from roadbed.operators.ordering import OrderedGroups, with_row_id
 from roadbed.schema import Profile
 from roadbed.session import stage
@@ -67,6 +67,22 @@ def test_survey_lines(points):
     assert rows(whole.drop("the_geom")) == rows(cut.drop("the_geom"))
 
 
+def test_crowded_cells_are_spread(spark):
+    places = spark.range(40).selectExpr("'r' file_name", "id as place", "0D as lon", "id % 3 * 0.00003D as lat")
+    points = spark.range(300).selectExpr("'r' file_name", "id as point", "0D as point_lon", "id % 7 * 0.00001D as point_lat")
+    plain = joins.distance_join(places, points, 0.00004)
+    spread = joins.distance_join(places, points, 0.00004, crowd=20)
+    assert spread.columns == plain.columns
+    assert plain.exceptAll(spread).count() == spread.exceptAll(plain).count() == 0 < plain.count()
+
+
+def test_band_join_of_a_very_long_interval(spark):
+    points = spark.createDataFrame([("r", 5.0), ("r", 700.0), ("r", -3.0)], "file_name string, at double")
+    events = spark.createDataFrame([("r", 0.0, 2.0e6), ("r", 650.0, 800.0)], "file_name string, a double, b double")
+    got = joins.band_join(points, events, "at", "a", "b").select("at", "a").collect()
+    assert sorted(map(tuple, got)) == [(5.0, 0.0), (700.0, 0.0), (700.0, 650.0)]
+
+
 def test_survey_points(spark, sf_dir, points, local):
     lines, expected = local
     laser = views.laser(spark, sf_dir)
