@@ -1,13 +1,14 @@
 """Near-duplicate lines: segment-partition join under an edit distance.
 
-A line is cut into ``EDITS`` + 1 segments. A line within ``EDITS`` edits of it
-has at least one of these segments unchanged, shifted by no more than the edits
+A line that ``e`` edits may change (fewer for shorter lines, see ``edits_of``)
+is cut into ``e`` + 1 segments. A line within these edits of it has at least one of these segments unchanged, shifted by no more than the edits
 around it allow; so every line is indexed by its segments and probes, for each
 length in reach, the substrings that can match one. A probe and an indexed line
 meet by the hash of (length, segment number, segment). A bit mask travels with
 them: an edit changes the parity of at most two letter counts, so most chance
 meetings end without their texts being read.
 What is left is verified on the texts by a banded bit-parallel edit distance.
+Equal lines of any length are one class by their hashes.
 """
 
 from __future__ import annotations
@@ -26,20 +27,28 @@ from roadbed.llm.components import connected_components
 
 #: lines this many edits apart are the same line
 EDITS = 2
-#: shorter lines are left alone: a few edits make another line of them
-MIN_CHARS = 32
+#: lines of fewer characters, which are empty ones, are left alone
+MIN_CHARS = 1
+#: shorter lines allow one edit less for each step: a few edits make another line of them
+FULL_CHARS, ONE_CHARS = 24, 12
 #: a document goes when at least this share of its characters repeats others
 REDUNDANT = 0.8
 #: ids of candidate lines are broadcast up to this many (16 MB), else joined
 MAX_BROADCAST_IDS = 1_000_000
 
 
+def edits_of(n: int) -> int:
+    """Edits that keep two lines the same, if the shorter has ``n`` characters."""
+    return max(0, EDITS - (n < FULL_CHARS) - (n < ONE_CHARS))
+
+
 def segments(n: int) -> list[tuple[int, int]]:
     """(start, length) of the segments of a line of ``n`` characters."""
-    short, more = divmod(n, EDITS + 1)
+    edits = edits_of(n)
+    short, more = divmod(n, edits + 1)
     out, at = [], 0
-    for i in range(EDITS + 1):
-        size = short + (i > EDITS - more)
+    for i in range(edits + 1):
+        size = short + (i > edits - more)
         out.append((at, size))
         at += size
     return out
@@ -53,9 +62,11 @@ def probes(n: int) -> Iterator[tuple[int, int, int, int]]:
     behind it leave over of the difference in length.
     """
     for other in range(max(MIN_CHARS, n - EDITS), n + 1):
-        longer = n - other
+        longer, edits = n - other, edits_of(other)
+        if not edits or longer > edits:
+            continue
         for i, (start, size) in enumerate(segments(other)):
-            behind = EDITS - i
+            behind = edits - i
             low = max(0, start - i, start + longer - behind)
             high = min(n - size, start + i, start + longer + behind)
             for at in range(low, high + 1):
@@ -132,7 +143,7 @@ _INDEX, _PROBE = 1, 2
 def _cuts(n: int) -> list[tuple[int, int, int, int]]:
     """(seed, start, end, kind) in bytes of UTF-32: what a line of ``n`` sends."""
     kinds: dict[tuple[int, int, int], int] = {}
-    for i, (at, size) in enumerate(segments(n)):
+    for i, (at, size) in enumerate(segments(n) if edits_of(n) else []):
         kinds[n * 8 + i, at, size] = _INDEX
     for other, i, at, size in probes(n):
         key = other * 8 + i, at, size
@@ -194,7 +205,9 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 4096):
         a, b = batch["line_a"].to_pylist(), batch["line_b"].to_pylist()
-        close = pa.array([x != y and edit_distance(x, y) is not None for x, y in zip(a, b)], pa.bool_())
+        most = [edits_of(min(len(x), len(y))) for x, y in zip(a, b)]
+        close = [x != y and edit_distance(x, y, m) is not None for x, y, m in zip(a, b, most)]
+        close = pa.array(close, pa.bool_())
         yield batch.select(["a", "b"]).filter(close)
 
 
@@ -203,7 +216,7 @@ def _trimmed(line: Column) -> Column:
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line, h1, h2): lines of ``MIN_CHARS`` characters or more.
+    """(doc_id, line_no, line, h1, h2): all lines but empty ones.
 
     White space at the ends is left out; two hashes stand for the text.
     """
@@ -217,7 +230,7 @@ def _node() -> Column:
 
 
 def line_links(lines: DataFrame) -> DataFrame:
-    """(a, b): all pairs of different lines within ``EDITS`` edits, as "h1:h2"."""
+    """(a, b): all pairs of different lines within ``edits_of`` the shorter, as "h1:h2"."""
     keyed = lines.select("h1", "line").mapInArrow(_keys, _KEYED)
     dealt = keyed.repartition("key").sortWithinPartitions("key")
     pairs = staged(dealt.mapInArrow(_meet, "a bigint, b bigint").distinct(), "line-pairs")
@@ -232,13 +245,13 @@ def line_links(lines: DataFrame) -> DataFrame:
 
 
 def line_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, class_doc, class_line, n_links, keep) of every long line.
+    """(doc_id, line_no, class_doc, class_line, n_links, keep) of every line that is not empty.
 
     Lines are one class if equal or joined by links; (class_doc, class_line) is
     the first place of any of them, in order of doc_id (NULL first) and line,
-    and ``keep`` marks it. ``n_links`` counts different lines within ``EDITS``
-    edits. Rows that repeat an id are one document. NULL, empty and short-lined
-    texts give no rows.
+    and ``keep`` marks it. ``n_links`` counts different lines within
+    ``edits_of`` the shorter. Rows that repeat an id are one document. NULL and
+    empty texts give no rows.
     """
     lines = split_lines(docs)
     links = staged(line_links(lines), "line-links")
@@ -269,14 +282,12 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """
     gone = line_classes(docs).filter(~F.col("keep")).groupBy(F.col("doc_id").alias("__id"))
     # at most the lines of one document
-    gone = gone.agg(F.collect_set(F.struct("line_no", "h1")).alias("__gone"))
+    gone = gone.agg(F.collect_set(F.concat_ws(":", "line_no", "h1")).alias("__gone"))
     pieces = F.split("text", "\n", -1)
-    kept = F.filter(
-        pieces,
-        lambda x, i: ~F.array_contains(
-            F.col("__gone"), F.struct(i.alias("line_no"), F.xxhash64(_trimmed(x)).alias("h1"))
-        ),
-    )
+    # a hash set, as a document may have very many lines
+    places = F.transform(pieces, lambda x, i: F.concat_ws(":", i, F.xxhash64(_trimmed(x))))
+    places = F.array_except(places, F.col("__gone"))
+    kept = F.transform(places, lambda p: F.get(pieces, F.substring_index(p, ":", 1).cast("int")))
     joined = docs.join(gone, docs["doc_id"] == gone["__id"], "left")
     text = F.when(F.col("__gone").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col("text"))
     cut = joined.withColumn("__kept", text)

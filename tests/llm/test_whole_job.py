@@ -4,9 +4,9 @@ import itertools
 import random
 
 import corpus_pipeline
-from roadbed.llm import shingles
+from roadbed.llm import line_dedup, shingles
 
-from .test_corpus_operators import brute_roots
+from .test_corpus_operators import brute_roots, edited, full_distance
 
 
 def brute_shingles(text):
@@ -43,3 +43,26 @@ def test_stage_drops_texts_of_similarity_four_fifths(spark, monkeypatch):
         monkeypatch.setattr(shingles, "SMALL", small)
         left = corpus_pipeline.without_near_duplicates(spark, docs, "")
         assert {r.doc_id for r in left.collect()} == {i for i, _ in rows} - gone
+
+
+def test_short_lines_have_classes(spark):
+    draw = random.Random(13)
+    lines = ["".join(draw.choice("abcdef") for _ in range(n)) for n in range(1, 40) for _ in range(2)]
+    lines += [edited(draw.choice(lines[10:]), draw, draw.randrange(1, 3)) for _ in range(150)]
+    rows = [(i, "\n".join(draw.choice(lines) for _ in range(4))) for i in range(120)] + [(200, "\n  \nx\nx"), (201, "x\r")]
+    places = [(d, n, x.strip(" \t\r")) for d, t in rows for n, x in enumerate(t.split("\n"))]
+    places = [p for p in places if p[2]]
+    allowed = lambda a, b: sum(min(len(a), len(b)) >= n for n in (12, 24))
+    distinct = sorted({p[2] for p in places})
+    links = [(a, b) for a, b in itertools.combinations(distinct, 2) if full_distance(a, b) <= allowed(a, b)]
+    assert sum(len(a) < 24 for a, _ in links) > 5
+    roots, head = brute_roots(distinct, links), {}
+    for d, n, line in places:
+        head.setdefault(roots[line], (d, n))
+    want = sorted((d, n, *head[roots[line]]) for d, n, line in places)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = line_dedup.line_classes(docs).select("doc_id", "line_no", "class_doc", "class_line").collect()
+    assert sorted(map(tuple, got)) == want
+    left = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(docs).collect()}
+    assert all(left[d].split("\n").count(line) >= 1 for d, n, line in places if d in left and head[roots[line]] == (d, n))
+    assert 201 not in left
