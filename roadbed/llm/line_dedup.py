@@ -31,8 +31,8 @@ EDITS = 2
 MIN_CHARS = 1
 #: shorter lines allow one edit less for each step: a few edits make another line of them
 FULL_CHARS, ONE_CHARS = 24, 12
-#: a document goes when at least this share of its characters repeats others
-REDUNDANT = 0.8
+#: a document goes when this share of its characters repeats others: all of them
+REDUNDANT = 1.0
 #: ids of candidate lines are broadcast up to this many (16 MB), else joined
 MAX_BROADCAST_IDS = 1_000_000
 
@@ -277,8 +277,7 @@ def line_classes(docs: DataFrame) -> DataFrame:
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without lines that repeat an earlier one; ``n_chars`` follows.
 
-    A document whose characters repeat others to ``REDUNDANT`` or more goes
-    whole. Rows without an id, and NULL texts, stay as they are.
+    A document goes only when no line of its own is left. Rows without an id, and NULL texts, stay as they are.
     """
     gone = line_classes(docs).filter(~F.col("keep")).groupBy(F.col("doc_id").alias("__id"))
     # at most the lines of one document
@@ -291,7 +290,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     joined = docs.join(gone, docs["doc_id"] == gone["__id"], "left")
     text = F.when(F.col("__gone").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col("text"))
     cut = joined.withColumn("__kept", text)
-    size = lambda c: F.length(F.replace(F.col(c), F.lit("\n"), F.lit("")))
+    size = lambda c: F.length(F.translate(c, "\n \t\r", ""))
     cut = cut.filter(F.col("__gone").isNull() | (size("__kept") > (1 - REDUNDANT) * size("text")))
     cut = cut.withColumn("text", F.col("__kept"))
     if "n_chars" in docs.columns:

@@ -66,3 +66,10 @@ def test_short_lines_have_classes(spark):
     left = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(docs).collect()}
     assert all(left[d].split("\n").count(line) >= 1 for d, n, line in places if d in left and head[roots[line]] == (d, n))
     assert 201 not in left
+
+
+def test_lines_of_its_own_stay_beside_boilerplate(spark):
+    common = [f"boilerplate {chr(97 + i) * 5} line, stated at some length" for i in range(20)]
+    rows = [(1, "\n".join(common)), (2, "\n".join([*common, "a line that stands nowhere else"])), (3, "\n".join(common) + "\n \n")]
+    left = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.text for r in left} == {1: rows[0][1], 2: "a line that stands nowhere else"}
