@@ -1,14 +1,16 @@
 """License scan: ordered signature rules behind a keyword prefilter.
 
 Texts become lower-case words parted by single spaces. Only texts with a
-keyword are looked at; a rule's pattern runs only where its family's keyword
-stands. Hits are resolved in order of place: one that lies inside a kept hit
+keyword are looked at; a rule's pattern runs only where letters stand that any
+match of it has. Hits are resolved in order of place: one that lies inside a kept hit
 goes, and so does one that overlaps a kept hit of higher priority. All of it is
 DataFrame functions; nothing leaves the row.
 """
 
 from __future__ import annotations
 
+from re import _constants, _parser
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,21 +120,52 @@ _NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: a text without any of these words has no license
-_GATE = r"(?i)licen[sc]e|\bspdx|\bcc(?![a-z])|\bcc0|\bgpl|commons|rights|domain|apache|public"
+_LETTER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+
+#: a text without any of these has no license: each form has a word of the first
+#: line, each name of ``_ALONE`` one of the second
+_GATE = (
+    r"(?i)licen[sc]e|under|subject|accordance|governed"
+    rf"|(?<!{_LETTER})cc0?(?!{_LETTER})|gpl|commons|rights|domain|apache|public"
+)
+
+
+def _needed(pattern: str) -> list[str]:
+    """Of these, one stands in any text " … " that holds a match between spaces."""
 
+    def longest(parsed) -> list[str]:
+        items = list(parsed)
+        if len(items) == 1 and items[0][0] is _constants.BRANCH:
+            return [need for branch in items[0][1][1] for need in longest(branch)]
+        found = [" "]
+        for kind, value in items:
+            if kind is _constants.LITERAL:
+                found[-1] += chr(value)
+            else:
+                found.append("")
+        found[-1] += " "
+        return [max(found, key=len)]
 
-def rules() -> list[tuple[str, list[tuple[str, str, int, float]]]]:
-    """(keyword, [(pattern, label, priority, weight)]): every name in every form."""
+    return longest(_parser.parse(pattern))
+
+
+def rules() -> list[tuple[list[str], list[tuple[str, str, int, float]]]]:
+    """(needed, [(pattern, label, priority, weight)]): every name in every form."""
     out = []
     for keyword, names in FAMILIES.items():
         forms = FORMS + [("(?:{name})", 0.6)] * (keyword in _ALONE)
-        own = [
-            (f" (?:{form.format(name=name, short=short)})(?= )", label, priority, weight)
-            for label, name, short in names
-            for priority, (form, weight) in enumerate(forms)
-        ]
-        out.append((keyword, own))
+        for label, name, short in names:
+            own = [
+                (f" (?:{form.format(name=name, short=short)})(?= )", label, priority, weight)
+                for priority, (form, weight) in enumerate(forms)
+            ]
+            by_name = ["{name}" in form for form, _ in forms]
+            out.append((_needed(name), [rule for rule, named in zip(own, by_name) if named]))
+            out += [
+                (_needed(form.format(short=short)), [rule])
+                for (form, _), rule, named in zip(forms, own, by_name)
+                if not named
+            ]
     return out
 
 
@@ -143,8 +176,8 @@ def _table() -> Column:
 
     return F.array(
         *[
-            F.struct(F.lit(f" {key}").alias("keyword"), F.array(*[rule(*r) for r in own]).alias("rules"))
-            for key, own in rules()
+            F.struct(F.array(*map(F.lit, needed)).alias("needed"), F.array(*[rule(*r) for r in own]).alias("rules"))
+            for needed, own in rules()
         ]
     )
 
@@ -217,7 +250,9 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
     norm = F.col("norm")
     in_play = F.flatten(
-        F.transform(F.filter(_table(), lambda f: F.contains(norm, f.keyword)), lambda f: f.rules)
+        F.transform(
+            F.filter(_table(), lambda f: F.exists(f.needed, lambda need: F.contains(norm, need))), lambda f: f.rules
+        )
     )
     matching = F.filter(in_play, lambda rule: F.regexp_like(norm, rule.pattern))
     hits = F.flatten(F.transform(matching, lambda rule: _places(norm, rule)))

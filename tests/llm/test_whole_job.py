@@ -2,9 +2,10 @@
 
 import itertools
 import random
+from re import _constants, _parser
 
 import corpus_pipeline
-from roadbed.llm import line_dedup, shingles
+from roadbed.llm import licenses, line_dedup, shingles
 
 from .test_corpus_operators import brute_roots, edited, full_distance
 
@@ -73,3 +74,39 @@ def test_lines_of_its_own_stay_beside_boilerplate(spark):
     rows = [(1, "\n".join(common)), (2, "\n".join([*common, "a line that stands nowhere else"])), (3, "\n".join(common) + "\n \n")]
     left = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r.doc_id: r.text for r in left} == {1: rows[0][1], 2: "a line that stands nowhere else"}
+
+
+def examples(parsed):
+    """Some texts that match: every branch, options left out and taken."""
+    out = [""]
+    for kind, value in parsed:
+        if kind is _constants.LITERAL:
+            more = [chr(value)]
+        elif kind is _constants.BRANCH:
+            more = [x for branch in value[1] for x in examples(branch)[:2]]
+        elif kind is _constants.SUBPATTERN:
+            more = examples(value[-1])
+        elif kind is _constants.MAX_REPEAT:
+            more = examples(value[2]) + [""] * (value[0] == 0)
+        elif kind is _constants.IN:
+            more = [chr(value[0][1]) if value[0][0] is _constants.LITERAL else "1"]
+        else:
+            more = [""]
+        size = max(len(out), len(more))
+        out = [out[i % len(out)] + more[i % len(more)] for i in range(size)]
+    return out
+
+
+def test_license_gates_lose_no_rule(spark, monkeypatch):
+    texts = [x for _, own in licenses.rules() for rule in own for x in examples(_parser.parse(rule[0]))]
+    texts = sorted({form.format(t.strip()) for t in texts for form in ("{}", "_{}_", "x. {}, y")})
+    named = {"_CC BY-NC_": "cc-by-nc", "Released under MIT.": "mit", "licensed under the LGPLv3": "lgpl-3", "AGPLv3": "agpl-3",
+             "SPDX-License-Identifier: 0BSD": "bsd-0", "FreeBSD license": "bsd-2", "SPDX-License-Identifier: MPL-2.0": "mpl-2",
+             "SPDX-License-Identifier: OFL-1.1": "ofl-1.1", "Distributed under BSD": "bsd"}
+    docs = spark.createDataFrame(list(enumerate([*named, *texts])), "doc_id bigint, text string").repartition(8).cache()
+    rows = sorted(licenses.scan_licenses(docs).collect())
+    assert [r.labels for r in rows[: len(named)]] == list(named.values())
+    assert all(r.labels for r in rows)
+    monkeypatch.setattr(licenses, "_GATE", "")
+    monkeypatch.setattr(licenses, "_needed", lambda pattern: [" "])
+    assert sorted(licenses.scan_licenses(docs).collect()) == rows
