@@ -89,19 +89,23 @@ def runs(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[list[
     The first ``n_keys`` columns are the key. Yields (columns, starts) where
     ``starts`` has the first row of each group and a last entry for the end.
     """
-    rest: list[np.ndarray] | None = None
+    held: list[list[np.ndarray]] = []  # parts of the group that is open
     for batch in batches:
         if not batch.num_rows:
             continue
         now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if rest is not None:
-            now = [np.concatenate(pair) for pair in zip(rest, now)]
+        if held:
+            if all((key == was[-1]).all() for key, was in zip(now[:n_keys], held[-1])):
+                held.append(now)  # a large group is put together once, at its end
+                continue
+            now = [np.concatenate(parts) for parts in zip(*held, now)]
         starts = _starts(now[:n_keys])
         cut = starts[-1]  # the last group may go on in the next batch
-        rest = [c[cut:] for c in now]
+        held = [[c[cut:] for c in now]]
         if cut:
             yield [c[:cut] for c in now], np.append(starts[:-1], cut)
-    if rest is not None:
+    if held:
+        rest = [np.concatenate(parts) for parts in zip(*held)]
         yield rest, np.array([0, len(rest[0])])
 
 
