@@ -40,7 +40,7 @@ def test_base_counts_equal_plain_python(spark):
         assert {k: row[k] for k in expected} == expected, row.doc_id
 
 
-PROSE = " ".join(f"A line of prose{i}, with comma{i} and a full stop{i}." for i in range(12))
+PROSE = " ".join(f"A{i} line{i} of{i} prose{i}, with{i} a comma and a full stop{i}." for i in range(12))
 
 
 @pytest.mark.parametrize(
