@@ -43,8 +43,9 @@ _BYTES = bytes.maketrans(
     _ENDS + b"\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"\n" * len(_ENDS) + b" abcdefghijklmnopqrstuvwxyz"
 )
 
-_WINDOWS = "head binary, w2 binary, w3 binary, n bigint"
-_COUNTED = "size int, head binary, w2 binary, w3 binary, n bigint"
+# rows hold text, whose bytes Spark compares in place
+_WINDOWS = "head string, w2 string, w3 string, n bigint"
+_COUNTED = "size int, head string, w2 string, w3 string, n bigint"
 
 
 def tokens_of(text: bytes) -> Iterator[list[bytes]]:
@@ -84,12 +85,13 @@ def _count_windows(lang: bytes, tokens: list[bytes]) -> Iterator[pa.RecordBatch]
     # where a piece ends there is no word
     words = pc.if_else(pc.equal(words, b"\n"), pa.scalar(b"", pa.binary()), words)
     heads = pc.binary_join_element_wise(pa.scalar(lang, pa.binary()), words, pa.scalar(b"\t", pa.binary()))
+    heads, words = heads.view(pa.string()), words.view(pa.string())
     columns = [heads.take(pa.array(window[0]))] + [words.take(pa.array(w)) for w in window[1:]] + [pa.array(n)]
     table = pa.record_batch(columns, ["head", "w2", "w3", "n"])
     for at in range(0, table.num_rows, ROWS):
         yield table.slice(at, ROWS)
-    total = [[lang + b"\t"], [b""], [b""], [int(opens.sum())]]
-    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(total, table.schema)], table.schema.names)
+    total = pa.array([lang + b"\t"], pa.binary()).view(pa.string())
+    yield pa.record_batch([total, *[pa.array([""])] * 2, pa.array([int(opens.sum())])], table.schema.names)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,11 +155,11 @@ def _sum_runs(least: int):
     def told(size: int, runs) -> Iterator[pa.RecordBatch]:
         for words, n in runs:
             nothing = pa.array([b""] * len(n), pa.binary())
-            columns = [*words, nothing, nothing][:3]
+            columns = [w.view(pa.string()) for w in [*words, nothing, nothing][:3]]
             sizes = pa.array(np.full(len(n), size, np.int32))
             found = pa.record_batch([sizes, *columns, pa.array(n)], ["size", "head", "w2", "w3", "n"])
             if size > 1:  # a window that ends early has no phrase of this size
-                found = found.filter(pc.not_equal(columns[size - 1], b""))
+                found = found.filter(pc.not_equal(columns[size - 1], ""))
             yield found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +168,7 @@ def _sum_runs(least: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            words, n = [batch[c] for c in ("head", "w2", "w3")], batch["n"].to_numpy()
+            words, n = [batch[c].view(pa.binary()) for c in ("head", "w2", "w3")], batch["n"].to_numpy()
             new = np.zeros(batch.num_rows, bool)
             for i, (level, word) in enumerate(zip(levels, words)):
                 new[0] |= last is None or word[0].as_py() != last[i]
@@ -192,11 +194,11 @@ def phrase_counts(docs: DataFrame, least: int = MIN_COUNT) -> DataFrame:
     ordered = found.mapInArrow(_windows, _WINDOWS).repartitionByRange(*key).sortWithinPartitions(*key)
     runs = ordered.mapInArrow(_sum_runs(least), _COUNTED)
     counted = runs.groupBy("size", *key).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    head = F.col("head").cast("string")
+    head = F.col("head")
     first = F.substring_index(head, "\t", -1)
     lang = F.substring(head, F.lit(1), F.char_length(head) - F.char_length(first) - 1)
     return counted.select(
-        "size", lang.alias("lang"), first.alias("w1"), *[F.col(w).cast("string").alias(w) for w in key[1:]], "n"
+        "size", lang.alias("lang"), first.alias("w1"), *key[1:], "n"
     )
 
 
