@@ -117,5 +117,39 @@ def _starts(keys: list[np.ndarray]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+#: marks of rows that are looked up, and of rows that look up, within a group
+INDEX, PROBE = 1, 2
+
+#: keys of large groups are broadcast up to this many
+MAX_BROADCAST_KEYS = 100_000
+
+
+def in_cells(keyed: DataFrame, by: str, max_rows: int) -> DataFrame:
+    """``keyed`` (with key and kind) and columns cell and role: rows that meet share key and cell.
+
+    Most keys are one cell. One of ``b`` times ``max_rows`` rows is a square of
+    ``b`` x ``b`` cells, in which a row has its place by ``by``: as ``INDEX`` it goes to all
+    cells of a line, as ``PROBE`` to all of a column, so a pair meets in one cell for
+    each way round its kinds allow. ``role`` is what of its kind a row plays in a cell.
+    """
+    large = keyed.groupBy("key").agg(F.count("*").alias("rows")).filter(F.col("rows") > max_rows)
+    large = staged(large.select("key", F.ceil(F.col("rows") / max_rows).cast("int").alias("b")), "large-keys")
+    # at most rows / max_rows keys, counted before they are sent around
+    large = F.broadcast(large) if large.count() <= MAX_BROADCAST_KEYS else large
+    own = F.pmod(F.xxhash64(by), F.col("b")).cast("int")
+    others = F.sequence(F.lit(0), F.col("b") - 1)
+
+    def cells(kind: int, place) -> Column:
+        line = F.transform(others, lambda j: F.struct(place(j).alias("cell"), F.lit(kind).cast("tinyint").alias("role")))
+        return F.when(F.col("kind").bitwiseAND(kind) > 0, line).otherwise(F.slice(line, 1, 0))
+
+    square = F.concat(cells(INDEX, lambda j: own * F.col("b") + j), cells(PROBE, lambda j: j * F.col("b") + own))
+    single = F.array(F.struct(F.lit(0).alias("cell"), F.col("kind").alias("role")))
+    place = F.explode(F.when(F.col("b").isNull(), single).otherwise(square)).alias("place")
+    rest = [c for c in keyed.columns if c != "key"]
+    found = keyed.join(large, "key", "left").select("key", *rest, place)
+    return found.select("key", "place.cell", *rest, "place.role")
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     return stage(df, f"llm-{name}")

@@ -8,7 +8,11 @@ meet by the hash of (length, segment number, segment). A bit mask travels with
 them: an edit changes the parity of at most two letter counts, so most chance
 meetings end without their texts being read.
 What is left is verified on the texts by a banded bit-parallel edit distance.
-Equal lines of any length are one class by their hashes.
+Few lines under a key send their pairs on to be verified. A crowded key sends
+its lines instead: with their texts they meet again in cells of bounded size,
+are verified there, and only counts and the links of a spanning forest leave.
+A pair under several keys counts at the smallest. Equal lines of any length are
+one class by their hashes.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadbed.llm.common import runs, slices, staged, texts
+from roadbed.llm.common import INDEX, PROBE, in_cells, runs, slices, staged, texts
 from roadbed.llm.components import connected_components
 
 #: lines this many edits apart are the same line
@@ -33,6 +37,12 @@ MIN_CHARS = 1
 FULL_CHARS, ONE_CHARS = 24, 12
 #: a document goes when this share of its characters repeats others: all of them
 REDUNDANT = 1.0
+#: lines under a key whose pairs are sent on; of more, the lines are
+CROWD = 32
+#: lines of a crowded key that are verified in one task
+CELL = 1000
+#: hashes of lines a task remembers, so as to send copies once
+MAX_SEEN = 1_000_000
 #: ids of candidate lines are broadcast up to this many (16 MB), else joined
 MAX_BROADCAST_IDS = 1_000_000
 
@@ -136,21 +146,37 @@ def edit_distance(a: str, b: str, most: int = EDITS) -> int | None:
     return next((k for k, level in enumerate(levels) if level >> place & 1), None)
 
 
-_INDEX, _PROBE = 1, 2
-
-
 @lru_cache(maxsize=4096)
 def _cuts(n: int) -> list[tuple[int, int, int, int]]:
     """(seed, start, end, kind) in bytes of UTF-32: what a line of ``n`` sends."""
     kinds: dict[tuple[int, int, int], int] = {}
     for i, (at, size) in enumerate(segments(n) if edits_of(n) else []):
-        kinds[n * 8 + i, at, size] = _INDEX
+        kinds[n * 8 + i, at, size] = INDEX
     for other, i, at, size in probes(n):
         key = other * 8 + i, at, size
-        kinds[key] = kinds.get(key, 0) | _PROBE
+        kinds[key] = kinds.get(key, 0) | PROBE
     return [(seed, 4 * at, 4 * (at + size), kind) for (seed, at, size), kind in kinds.items()]
 
 
+def _keys_of(line: str) -> dict[int, int]:
+    """Kind by key of one line."""
+    data, found = line.encode("utf-32-le", "surrogatepass"), {}
+    for seed, start, end, kind in _cuts(len(line)):
+        key = xxhash.xxh64_intdigest(data[start:end], seed)
+        key -= key >> 63 << 64  # signed, as in Spark
+        found[key] = found.get(key, 0) | kind
+    return found
+
+
+def _first_key(a: dict[int, int], b: dict[int, int]) -> int | None:
+    """Smallest key under which two lines meet: one is looked up, the other looks up."""
+    return min((k for k in a.keys() & b.keys() if a[k] & INDEX and b[k] & PROBE or a[k] & PROBE and b[k] & INDEX), default=None)
+
+
+def _are_close(a: str, b: str) -> bool:
+    return a != b and edit_distance(a, b, edits_of(min(len(a), len(b)))) is not None
+
+
 _KEYED = "key bigint, id bigint, mask int, kind tinyint"
 
 
@@ -159,6 +185,8 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     digest = xxhash.xxh64_intdigest
     for batch in slices(batches, 2048):
+        if len(seen) > MAX_SEEN:
+            seen.clear()
         ids, lines = [], []
         for h, line in zip(batch["h1"].to_pylist(), batch["line"].to_pylist()):
             if h not in seen:
@@ -180,9 +208,20 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(c) for c in columns], ["key", "id", "mask", "kind"])
 
 
+_MET = "key bigint, a bigint, b bigint, kind tinyint"
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of lines under one key whose masks allow them to be close."""
-    for (_, ids, mask, kind), starts in runs(batches, 1):
+    """Pairs of lines under one key whose masks allow them to be close.
+
+    A key of more than ``CROWD`` lines gives its lines (``a``) and their kinds, once each.
+    """
+
+    def told(key, a, b, kind):
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int8()]
+        return pa.record_batch([pa.array(c, t) for c, t in zip((key, a, b, kind), types)], ["key", "a", "b", "kind"])
+
+    for (keys, ids, mask, kind), starts in runs(batches, 1):
         if starts[-1] == 0:
             continue
         first = starts[:-1]
@@ -190,25 +229,80 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask, out = mask.view(np.uint32), []
         for g in np.flatnonzero(differ):
             own = np.arange(starts[g], starts[g + 1])
-            index, probe = own[kind[own] & _INDEX > 0], own[kind[own] & _PROBE > 0]
+            if len(own) > CROWD:
+                lines, at = np.unique(ids[own], return_inverse=True)
+                if len(lines) > CROWD:
+                    kinds = np.zeros(len(lines), np.int8)
+                    np.bitwise_or.at(kinds, at, kind[own])
+                    for i in range(0, len(lines), 1 << 16):
+                        some = lines[i : i + (1 << 16)]
+                        yield told([keys[own[0]]] * len(some), some, [None] * len(some), kinds[i : i + (1 << 16)])
+                    continue
+            index, probe = own[kind[own] & INDEX > 0], own[kind[own] & PROBE > 0]
             for i in range(0, len(index), 1024):
                 for j in range(0, len(probe), 1024):
                     a, b = index[i : i + 1024], probe[j : j + 1024]
                     x, y = np.nonzero(may_be_close(mask[a][:, None], mask[b][None, :]))
-                    out.append(np.stack([ids[a[x]], ids[b[y]]]))
+                    out.append(np.stack([keys[a[x]], ids[a[x]], ids[b[y]]]))
         if out:
-            pairs = np.unique(np.sort(np.concatenate(out, axis=1), axis=0), axis=1)
-            pairs = pairs[:, pairs[0] != pairs[1]]
-            yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            pairs = np.concatenate(out, axis=1)
+            pairs[1:] = np.sort(pairs[1:], axis=0)
+            pairs = np.unique(pairs, axis=1)
+            pairs = pairs[:, pairs[1] != pairs[2]]
+            yield told(*pairs, np.zeros(pairs.shape[1], np.int8))
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that are close and do not meet under a smaller key, where they count."""
     for batch in slices(batches, 4096):
         a, b = batch["line_a"].to_pylist(), batch["line_b"].to_pylist()
-        most = [edits_of(min(len(x), len(y))) for x, y in zip(a, b)]
-        close = [x != y and edit_distance(x, y, m) is not None for x, y, m in zip(a, b, most)]
-        close = pa.array(close, pa.bool_())
-        yield batch.select(["a", "b"]).filter(close)
+        close = [
+            _are_close(x, y) and _first_key(_keys_of(x), _keys_of(y)) == key
+            for x, y, key in zip(a, b, batch["key"].to_pylist())
+        ]
+        yield batch.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
+
+
+def _find(root: list[int], i: int) -> int:
+    while root[i] != i:
+        root[i] = root[root[i]]
+        i = root[i]
+    return i
+
+
+def _cell(key: int, nodes: np.ndarray, lines: np.ndarray, kind: np.ndarray, role: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Forest links and numbers of close lines of the lines of one cell."""
+    lines, mask = lines.tolist(), masks(lines.tolist())
+    keys = [_keys_of(line) for line in lines]
+    root, degree, links = list(range(len(lines))), np.zeros(len(lines), np.int64), []
+    probe = np.flatnonzero(role & PROBE)
+    for i in np.flatnonzero(role & INDEX):
+        for j in probe[may_be_close(mask[i], mask[probe])]:
+            # lines that both look up and are looked up meet either way round
+            both = kind[i] & PROBE and kind[j] & INDEX
+            if nodes[i] == nodes[j] or both and nodes[i] > nodes[j]:
+                continue
+            if not _are_close(lines[i], lines[j]) or _first_key(keys[i], keys[j]) != key:
+                continue
+            degree[i] += 1
+            degree[j] += 1
+            x, y = _find(root, i), _find(root, j)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                links.append((i, j))
+    return links, degree
+
+
+def _crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, n): forest links (n is NULL), and lines (a) with their numbers of close lines."""
+    for (key, _, nodes, lines, kind, role), starts in runs(batches, 2):
+        for at, end in zip(starts[:-1], starts[1:]):
+            links, degree = _cell(int(key[at]), *(column[at:end] for column in (nodes, lines, kind, role)))
+            own, met = nodes[at:end], np.flatnonzero(degree)
+            a = [own[i] for i, _ in links] + own[met].tolist()
+            b = [own[j] for _, j in links] + [None] * len(met)
+            n = [None] * len(links) + degree[met].tolist()
+            yield pa.record_batch([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(n, pa.int64())], ["a", "b", "n"])
 
 
 def _trimmed(line: Column) -> Column:
@@ -229,19 +323,31 @@ def _node() -> Column:
     return F.concat_ws(":", "h1", "h2")
 
 
-def line_links(lines: DataFrame) -> DataFrame:
-    """(a, b): all pairs of different lines within ``edits_of`` the shorter, as "h1:h2"."""
+def line_links(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that join all different lines within ``edits_of`` the shorter, and
+    (node, n_links) with the number of such lines of each; a line is "h1:h2"."""
     keyed = lines.select("h1", "line").mapInArrow(_keys, _KEYED)
     dealt = keyed.repartition("key").sortWithinPartitions("key")
-    pairs = staged(dealt.mapInArrow(_meet, "a bigint, b bigint").distinct(), "line-pairs")
-    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "line-ids")
+    met = staged(dealt.mapInArrow(_meet, _MET), "line-met")
+    crowd = met.filter("b is null").select("key", F.col("a").alias("h1"), "kind")
+    # under the first of their small keys; the true first one may be crowded
+    pairs = staged(met.filter("b is not null").groupBy("a", "b").agg(F.min("key").alias("key")), "line-pairs")
+    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("h1")).union(crowd.select("h1")).distinct(), "line-ids")
     wanted = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
     told = lines.select("h1", "h2", "line").join(wanted, "h1").dropDuplicates(["h1", "h2"])
     told = staged(told.select("h1", _node().alias("node"), "line"), "line-texts")
     left = told.select(F.col("h1").alias("ha"), F.col("node").alias("a"), F.col("line").alias("line_a"))
     right = told.select(F.col("h1").alias("hb"), F.col("node").alias("b"), F.col("line").alias("line_b"))
-    both = pairs.select(F.col("a").alias("ha"), F.col("b").alias("hb")).join(left, "ha").join(right, "hb")
-    return both.select("a", "b", "line_a", "line_b").mapInArrow(_verify, "a string, b string")
+    both = pairs.select("key", F.col("a").alias("ha"), F.col("b").alias("hb")).join(left, "ha").join(right, "hb")
+    few = both.select("key", "a", "b", "line_a", "line_b").mapInArrow(_verify, "a string, b string")
+    few = staged(few, "line-links")
+    cells = in_cells(crowd.join(told, "h1").select("key", "node", "line", "kind"), "node", CELL)
+    cells = cells.repartition("key", "cell").sortWithinPartitions("key", "cell")
+    many = staged(cells.mapInArrow(_crowded, "a string, b string, n bigint"), "line-crowds")
+    links = few.union(many.filter("b is not null").select("a", "b"))
+    one = F.lit(1).cast("bigint").alias("n")
+    counts = few.select(F.explode(F.array("a", "b")).alias("node"), one).union(many.filter("b is null").select("a", "n"))
+    return links, counts.groupBy("node").agg(F.sum("n").alias("n_links"))
 
 
 def line_classes(docs: DataFrame) -> DataFrame:
@@ -254,11 +360,10 @@ def line_classes(docs: DataFrame) -> DataFrame:
     empty texts give no rows.
     """
     lines = split_lines(docs)
-    links = staged(line_links(lines), "line-links")
+    links, degree = line_links(lines)
     places = staged(lines.select("doc_id", "line_no", "h1", "h2"), "line-places")
     first = F.min(F.struct("doc_id", "line_no"))
     copies = staged(places.groupBy("h1", "h2").agg(first.alias("first"), F.count("*").alias("n")), "line-copies")
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     tied = connected_components(links).join(degree, "node")
     linked = copies.withColumn("node", _node()).join(tied, "node").select("h1", "h2", "first", "root", "n_links")
     linked = staged(linked, "line-linked")
@@ -279,7 +384,8 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
 
     A document goes only when no line of its own is left. Rows without an id, and NULL texts, stay as they are.
     """
-    gone = line_classes(docs).filter(~F.col("keep")).groupBy(F.col("doc_id").alias("__id"))
+    # rows without an id stay as they are
+    gone = line_classes(docs).filter(~F.col("keep") & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__id"))
     # at most the lines of one document
     gone = gone.agg(F.collect_set(F.concat_ws(":", "line_no", "h1")).alias("__gone"))
     pieces = F.split("text", "\n", -1)

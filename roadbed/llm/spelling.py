@@ -16,10 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadbed.llm.common import runs, slices, staged
+from roadbed.llm.common import INDEX, PROBE, in_cells, runs, slices, staged
 
 #: letters and occurrences of a word that takes part
 MIN_CHARS, MIN_COUNT = 6, 5
@@ -30,8 +30,6 @@ EDITS = 1
 PREFIX = 2 * EDITS + 1
 #: index rows under one key that are compared in one task; larger groups are dealt out in blocks
 MAX_GROUP = 20_000
-#: keys of large groups are broadcast up to this many
-MAX_BROADCAST_KEYS = 100_000
 #: pairs compared in one go: 1,024 x 1,024
 _BLOCK = 1024
 
@@ -40,7 +38,6 @@ RUN = "[^A-Za-zÀ-ÿ]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SLIP_EVERY = 199
 
-_INDEX, _PROBE = 1, 2
 _KEYED = "key int, word string, n bigint, kind tinyint"
 
 
@@ -125,11 +122,11 @@ def _keys(shared):
             for i, word in enumerate(batch["word"].to_pylist()):
                 size = len(word)
                 prefix, pivots = prefix_and_pivots(word, ranks)
-                found = {_key(rank, size, p): _INDEX for rank, p in prefix}
+                found = {_key(rank, size, p): INDEX for rank, p in prefix}
                 for rank, p in pivots:  # equal length, one more, one less
                     for more, moved in ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1)):
                         key = _key(rank, size + more, p + moved)
-                        found[key] = found.get(key, 0) | _PROBE
+                        found[key] = found.get(key, 0) | PROBE
                 keys += found
                 kinds += found.values()
                 at += [i] * len(found)
@@ -171,11 +168,11 @@ def one_edit(letters: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray
     return ((gap == 0) & (differ == 1)) | ((gap == 1) & (moved == 0))
 
 
-def _near_pairs(words: np.ndarray, n: np.ndarray, kind: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _near_pairs(words: np.ndarray, n: np.ndarray, role: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Near pairs of index and probe rows of each group, at most some million pairs compared at once."""
     letters, size, mask = letters_of(words.tolist())
     group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    index, probe = np.flatnonzero(kind & _INDEX), np.flatnonzero(kind & _PROBE)
+    index, probe = np.flatnonzero(role & INDEX), np.flatnonzero(role & PROBE)
     first = np.searchsorted(group[index], np.arange(len(starts)))
     partners = np.diff(first)[group[probe]]
     probe, partners = probe[partners > 0], partners[partners > 0]
@@ -196,42 +193,17 @@ def _near_pairs(words: np.ndarray, n: np.ndarray, kind: np.ndarray, starts: np.n
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (_, _, words, n, kind), starts in runs(batches, 2):
+    for (_, _, words, n, _, role), starts in runs(batches, 2):
         if len(words):
-            yield from _near_pairs(words, n, kind, starts)
-
-
-def _dealt(keyed: DataFrame, max_group: int) -> DataFrame:
-    """(key, cell, word, n, kind): rows that meet share key and cell.
-
-    Most keys are one cell. One of ``b`` times ``max_group`` rows is a square of
-    ``b`` x ``b`` cells: an index row goes to a row of them, a probe row to a column.
-    """
-    large = keyed.groupBy("key").agg(F.count("*").alias("rows")).filter(F.col("rows") > max_group)
-    large = staged(large.select("key", F.ceil(F.col("rows") / max_group).cast("int").alias("b")), "spelling-large")
-    # at most rows / max_group keys, counted before they are sent around
-    large = F.broadcast(large) if large.count() <= MAX_BROADCAST_KEYS else large
-    own = F.pmod(F.xxhash64("word"), F.col("b")).cast("int")
-    others = F.sequence(F.lit(0), F.col("b") - 1)
-
-    def cells(kind: int, place) -> Column:
-        line = F.transform(others, lambda j: F.struct(place(j).alias("cell"), F.lit(kind).cast("tinyint").alias("kind")))
-        return F.when(F.col("kind").bitwiseAND(kind) > 0, line).otherwise(F.slice(line, 1, 0))
-
-    squares = F.concat(cells(_INDEX, lambda j: own * F.col("b") + j), cells(_PROBE, lambda j: j * F.col("b") + own))
-    single = F.array(F.struct(F.lit(0).alias("cell"), F.col("kind").alias("kind")))
-    joined = keyed.join(large, "key", "left")
-    place = F.explode(F.when(F.col("b").isNull(), single).otherwise(squares)).alias("place")
-    return joined.select("key", "word", "n", place).select("key", "place.cell", "word", "n", "place.kind")
+            yield from _near_pairs(words, n, role, starts)
 
 
 def near_words(words: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
     """(a, b, n_a, n_b): all pairs of different words one edit apart, a < b; ``words`` is (word, n)."""
-    spark: SparkSession = words.sparkSession
-    shared = spark.sparkContext.broadcast(bigram_ranks(words))
+    shared = words.sparkSession.sparkContext.broadcast(bigram_ranks(words))
     keyed = staged(words.mapInArrow(_keys(shared), _KEYED), "spelling-keys")
     shared.destroy()
-    dealt = _dealt(keyed, max_group).repartition("key", "cell").sortWithinPartitions("key", "cell")
+    dealt = in_cells(keyed, "word", max_group).repartition("key", "cell").sortWithinPartitions("key", "cell")
     return dealt.mapInArrow(_meet, "a string, b string, n_a bigint, n_b bigint").distinct()
 
 

@@ -4,48 +4,12 @@ import itertools
 import random
 from re import _constants, _parser
 
-import corpus_pipeline
-from roadbed.llm import licenses, line_dedup, shingles
+import pytest
+from roadbed.llm import licenses, line_dedup
 
 from .test_corpus_operators import brute_roots, edited, full_distance
 
 
-def brute_shingles(text):
-    words = (text or "").lower().split()
-    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
-
-
-def test_stage_drops_texts_of_similarity_four_fifths(spark, monkeypatch):
-    draw = random.Random(11)
-    word = lambda: f"w{draw.randrange(400)}"
-    rows = []
-    for base in range(25):
-        text = [word() for _ in range(draw.choice([4, 9, 30, 80, 200]))]
-        for _ in range(12 if base < 3 else 3):
-            other = text[draw.randrange(3) :]
-            for _ in range(draw.randrange(1 + len(text) // 50)):
-                other[draw.randrange(len(other))] = word()
-            rows.append((len(rows), " ".join(other)))
-    rows += [(500, None), (501, " "), (None, rows[3][1]), (502, rows[3][1]), (502, "its own words here now and then")]
-    sets = sorted({brute_shingles(t) for _, t in rows}, key=str)
-    links = []
-    for a, b in itertools.combinations(sets, 2):
-        if a and b and 5 * len(a & b) >= 4 * len(a | b):
-            links.append((sets.index(a), sets.index(b)))
-    assert len(links) > 50
-    roots, first = brute_roots(range(len(sets)), links), {}
-    for doc_id, text in rows:
-        if doc_id is not None:
-            root = roots[sets.index(brute_shingles(text))]
-            first[root] = min(doc_id, first.get(root, doc_id))
-    gone = {i for i, t in rows if i is not None and first[roots[sets.index(brute_shingles(t))]] != i}
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    for small in (8, 1):
-        monkeypatch.setattr(shingles, "SMALL", small)
-        left = corpus_pipeline.without_near_duplicates(spark, docs, "")
-        assert {r.doc_id for r in left.collect()} == {i for i, _ in rows} - gone
-
-
 def test_short_lines_have_classes(spark):
     draw = random.Random(13)
     lines = ["".join(draw.choice("abcdef") for _ in range(n)) for n in range(1, 40) for _ in range(2)]
@@ -110,3 +74,29 @@ def test_license_gates_lose_no_rule(spark, monkeypatch):
     monkeypatch.setattr(licenses, "_GATE", "")
     monkeypatch.setattr(licenses, "_needed", lambda pattern: [" "])
     assert sorted(licenses.scan_licenses(docs).collect()) == rows
+
+
+def near_copies(n):
+    """Lines that all share most segments and are two edits from one, and four or fewer from each other."""
+    draw = random.Random(17)
+    base = "a template line that hundreds of documents hold with a letter or two changed"
+    return [base, *sorted({edited(base, draw, draw.choice([1, 2])).strip() for _ in range(n)} - {base})]
+
+
+@pytest.mark.parametrize("cell", [1000, 40])
+def test_crowded_lines_give_a_forest_and_exact_counts(spark, monkeypatch, cell):
+    monkeypatch.setattr(line_dedup, "CELL", cell)
+    lines = near_copies(500)
+    rows = [(i, line) for i, line in enumerate(lines)]
+    links = [(a, b) for a, b in itertools.combinations(lines, 2) if line_dedup.edit_distance(a, b) is not None]
+    degree = {line: 0 for line in lines}
+    for pair in links:
+        for line in pair:
+            degree[line] += 1
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = line_dedup.line_classes(docs).collect()
+    assert {r.doc_id: r.n_links for r in got} == {i: degree[line] for i, line in rows}
+    assert {r.class_doc for r in got} == {0} and len(links) > 10 * len(lines)
+    forest, _ = line_dedup.line_links(line_dedup.split_lines(docs))
+    # three segments and their shifts: some keys a line, each cell with a forest of its own
+    assert cell < 1000 or forest.count() < 12 * len(lines) < len(links)
