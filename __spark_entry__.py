@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 import oracle_sql as _oracle
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +33,13 @@ from roadbed.operators import (
     survey_points,
 )
 from roadbed.operators import lines as lines_on
+from roadbed.operators.ordering import with_row_id
 from roadbed.plans import pipeline
 from roadbed.schema import KEY, LASER, METRICS, WITH_EXPORT, Profile
 from roadbed.session import stage, stage_root
-from roadbed.sources import landing, sinks
+from roadbed.sources import landing, rejects, sinks
 from roadbed.sources import sample_views as views
+from roadbed.sources.publication import Publisher
 
 try:  # the training-data operators may be left out of an installation
     import corpus_pipeline as _pipeline
@@ -123,6 +126,80 @@ def _raw_extracts(spark, sf):
     return plain(landing.build_laser(*read))
 
 
+def _event_extract(spark, sf):
+    """Events from a raw extract: its own column names, numbers and padding as they come."""
+    raw = views.key(spark, sf).withColumnsRenamed({new: old for old, new in landing.KEY_COLUMNS.items()})
+    return plain(landing.build_key(raw), *[f.name for f in KEY], "file_name")
+
+
+def _picture_extract(spark, sf):
+    raw = views.pic(spark, sf).withColumnsRenamed({"chainage_pic": "CHAINAGE", "frame_number": "FRAME"})
+    return plain(landing.build_pic(raw), "chainage_pic", "frame_number", "file_name")
+
+
+def _landed_lines(spark, sf) -> str:
+    """Event files in which some lines are spoilt, in a way that follows from the section."""
+    fields = [f.name for f in KEY]
+    values = {c: F.col(c).cast("bigint").cast("string") for c in ("event_str", "event_end")}
+    values |= {c: F.round(F.col(c) * 1e6).cast("bigint").cast("string") for c in _DEGREES & set(fields)}
+    k = F.col("section_id").cast("int") % 50
+    values["event_str"] = F.when(k.isin(1, 5), "abc").when(k == 6, "").otherwise(values["event_str"])
+    values["event_end"] = F.when(k == 2, "12,5").when(k == 5, "1.2.3").otherwise(values["event_end"])
+    values["survey_date"] = F.when(k == 4, "2022-13-45").otherwise(F.col("survey_date"))
+    shown = [F.coalesce(values.get(c, F.col(c)), F.lit("")) for c in fields]
+    shown[-1] = F.concat(F.when(k == 7, '"').otherwise(""), shown[-1])
+    line = F.when(k == 3, F.concat_ws(",", *shown[:-1])).otherwise(F.concat_ws(",", *shown))
+    path = f"{stage_root(spark)}/lines-{uuid.uuid4().hex}"
+    views.key(spark, sf).select("file_name", line.alias("line")).write.partitionBy("file_name").text(path)
+    return f"{path}/*"
+
+
+def _landed_rejects(spark, sf):
+    """Every fault of every line, and how many rows of each run were good."""
+    landed = rejects.read_with_rejects(spark, _landed_lines(spark, sf), "key")
+    run = F.regexp_extract("file_path", landing.RUN_PATTERN, 1).alias("file_name")
+    faults = landed.rejects.select(run, "line", "column", "rule", F.lit(None).cast("bigint").alias("n"))
+    good = landed.good.groupBy("file_name").agg(F.count("*").alias("n"))
+    nothing = F.lit(None).cast("string")
+    return faults.union(good.select("file_name", nothing, nothing, F.lit("good"), "n"))
+
+
+def _publisher(spark, ids: dict[str, str]) -> Publisher:
+    return Publisher(spark, f"{stage_root(spark)}/published-{uuid.uuid4().hex}", ids)
+
+
+def _published_manifest(spark, sf):
+    """What two publications of events and one of them again leave in the manifest."""
+    publisher = _publisher(spark, {"events": "event_id"})
+    events, sections = views.key(spark, sf), views.section_dim(spark, sf)
+    left = F.col("km_start") < F.col("km_end")
+    for key, own in (("rising", left), ("falling", ~left), ("rising", left)):
+        start = publisher.start_ids(key)["events"]
+        numbered = with_row_id(events.filter(own), ["file_name", "event_str"], start, "event_id")
+        publisher.publish(key, {"events": numbered, "sections": sections})
+    entries = publisher.history().select("version", "key", F.inline("tables"))
+    return entries.select("version", "key", "name", "n", "before", "last")
+
+
+def _survey_ids_continue(spark, sf):
+    """Survey lines of half the runs, of the other half, and of the first half once more."""
+    points = _staged_points(spark, sf)
+    publisher = _publisher(spark, {"survey": "survey_id"})
+    odd = F.substring("file_name", 8, 1).cast("int") % 2 == 1
+    shown = []
+    for key, own in (("odd", odd), ("even", ~odd), ("odd", odd)):
+        start = publisher.start_ids(key)["survey"]
+        version = publisher.publish(key, {"survey": survey.build_survey(points.filter(own), CHECKED, start_id=start)})
+        lines = publisher.read("survey", version).withColumn("version", F.lit(version).cast("bigint"))
+        shown.append(plain(lines, "version", "survey_id", "file_name", "link_id", "km_start", "km_end"))
+    return reduce(DataFrame.union, shown)
+
+
+def _report_order(spark, sf):
+    report = reports.gps_lost(views.laser(spark, sf), views.key(spark, sf), CHECKED)
+    return plain(sinks.indexed(report, pipeline.REPORT_ORDER["qa_gps_lost"]))
+
+
 def _section_lookup(spark, sf):
     path = f"{stage_root(spark)}/sections-{uuid.uuid4().hex}"
     dim = views.section_dim(spark, sf)
@@ -542,6 +619,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "landed_pic": _landed_pic,
         "raw_extracts": _raw_extracts,
         "section_lookup": _section_lookup,
+        "event_extract": _event_extract,
+        "picture_extract": _picture_extract,
+        "landed_rejects": _landed_rejects,
+        "published_manifest": _published_manifest,
+        "survey_ids_continue": _survey_ids_continue,
+        "report_order": _report_order,
         "pavement_events": _pavement_events,
         "decode_link": _decode_link,
         "grid_points": _grid_points,

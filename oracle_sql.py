@@ -531,6 +531,35 @@ def _images_out(relation):
       survey_id, remark, file_name, link_id, survey_point_id from {relation}"""
 
 
+def _rejects() -> str:
+    """Lines as they are spoilt in the event files, their faults, and the good rows of each run."""
+    k = "cast(section_id as int) % 50"
+    values = {
+        "event_str": f"case when {k} in (1, 5) then 'abc' when {k} = 6 then '' else cast(event_str as varchar) end",
+        "event_end": f"case when {k} = 2 then '12,5' when {k} = 5 then '1.2.3' else cast(event_end as varchar) end",
+        "event_num": "right(section_id, 2)",
+        "survey_date": f"case when {k} = 4 then '2022-13-45' else survey_date end",
+    }
+    for c in ("lat_str", "lat_end", "lon_str", "lon_end"):
+        values[c] = f"cast(cast(round({c}*1e6) as bigint) as varchar)"
+    fields = [
+        "event_str", "event_end", "event_num", "event_type", "event_name", "link_id", "section_id", "km_start", "km_end",
+        "length", "lane_no", "survey_date", "lat_str", "lat_end", "lon_str", "lon_end",
+    ]
+    shown = [f"coalesce({values.get(c, c)}, '')" for c in fields]
+    head, last = " || ',' || ".join(shown[:-1]), shown[-1]
+    line = f"{head} || case when {k} = 3 then '' when {k} = 7 then ',\"' || {last} else ',' || {last} end"
+    faults = [
+        (1, "event_str", "bad_number"), (2, None, "too_many_fields"), (3, None, "too_few_fields"), (4, "survey_date", "bad_date"),
+        (5, "event_str", "bad_number"), (5, "event_end", "bad_number"), (6, "event_str", "missing"), (7, None, "open_quote"),
+    ]
+    text = lambda v: "null" if v is None else f"'{v}'"
+    rows = " union all ".join(f'select {n} as k, {text(c)} as "column", {text(r)} as rule' for n, c, r in faults)
+    return f"""select file_name, {line} as line, "column", rule, cast(null as bigint) as n
+        from key_v join ({rows}) f on f.k = {k}
+      union all select file_name, null, null, 'good', count(*) from key_v where {k} not between 1 and 7 group by file_name"""
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
 
@@ -813,6 +842,29 @@ def oracle_sql() -> dict[str, str]:
     )
     out["landed_pic"] = q.select("select file_name, chainage_pic, frame_number from pic_v")
     out["raw_extracts"] = out["source_merge"]
+    out["event_extract"], out["picture_extract"] = out["landed_key"], out["landed_pic"]
+    out["landed_rejects"] = q.select(_rejects())
+    out["published_manifest"] = q.select(
+        """select version, key, name, n, case when name = 'events' then before end as before,
+             case when name = 'events' then before + n end as last
+           from (select * from (select cast(1 as bigint) as version, 'rising' as key union all select 2, 'falling' union all select 3, 'rising')) p,
+           lateral (
+             select 'events' as name, count(*) as n, case when key = 'rising' then 0 else
+                 (select count(*) from key_v where km_start < km_end) end as before
+               from key_v where (km_start < km_end) = (key = 'rising')
+             union all select 'sections', count(*), 0 from customer where c_custkey % 13 <> 0) t"""
+    )
+    lines = point_local(points(Sql()))
+    lines.add("halves", "select *, cast(substr(file_name, 8, 1) as int) % 2 as odd from survey")
+    lines.add("publication", "select cast(1 as bigint) as version, 1 as odd union all select 2, 0 union all select 3, 1")
+    out["survey_ids_continue"] = lines.select(
+        """select version, row_number() over (partition by version order by survey_id)
+             + case when odd = 1 then 0 else (select count(*) from halves where odd = 1) end as survey_id,
+             file_name, link_id, km_start, km_end
+           from halves join publication using (odd)"""
+    )
+    out["report_order"] = f"""select row_number() over (order by link_id, date, file_name) - 1 as "index", *
+      from ({out["qa_gps_lost"]})"""
     out["section_lookup"] = (
         "select road_id, cast(road_revision as bigint) as road_revision, cast(section_revision as bigint) as section_revision, "
         f"section_part_id, route, control from ({views.SECTION_DIM})"
