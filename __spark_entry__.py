@@ -34,7 +34,7 @@ from roadbed.operators import (
 )
 from roadbed.operators import lines as lines_on
 from roadbed.operators.ordering import with_row_id
-from roadbed.plans import pipeline
+from roadbed.plans import incremental, pipeline
 from roadbed.schema import KEY, LASER, METRICS, WITH_EXPORT, Profile
 from roadbed.session import stage, stage_root
 from roadbed.sources import landing, rejects, sinks
@@ -604,6 +604,20 @@ def _pipeline_interval_export(spark, sf):
     return plain(pipeline.run_pipeline(_inputs(spark, sf), EXPORTED)["interval_export"])
 
 
+def _pipeline_changed_runs(spark, sf):
+    """All points after a publication of other values for some runs and one of the true ones."""
+    true = _inputs(spark, sf)
+    even = F.substring("file_name", 8, 1).cast("int") % 2 == 0
+    rutting = F.when(even, F.col("rutting") + 1).otherwise(F.col("rutting")).cast("decimal(8,2)")
+    publisher = _publisher(spark, incremental.IDS)
+    once = replace(true, laser=true.laser.withColumn("rutting", rutting))
+    incremental.condition_changed(publisher, "once", once, CHECKED)
+    incremental.condition_changed(publisher, "again", true, CHECKED)
+    points = incremental.read_runs(publisher, "survey_point_local")
+    # ids of runs that were worked out again go on behind the first ones
+    return plain(points.drop("survey_id", "survey_point_id"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Every GPS gap: its link, first and last chainage, points and metres."""
     return _gps_islands(spark, "/root/testdata/sf0.001")
@@ -675,6 +689,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_survey_point_local": _pipeline_survey_point_local,
         "pipeline_export_profile_survey_point": _pipeline_export_profile_survey_point,
         "pipeline_interval_export": _pipeline_interval_export,
+        "pipeline_changed_runs": _pipeline_changed_runs,
         "qa_unrepaired": _qa_unrepaired,
         "qa_duplicate_images_after": _qa_duplicate_images_after,
     }

@@ -808,6 +808,7 @@ def oracle_sql() -> dict[str, str]:
     renamed(q)
     out["pipeline_survey_image"] = q.select(_images_out("renamed"))
     out["pipeline_survey_point_local"] = q.select(_local_out())
+    out["pipeline_changed_runs"] = f"select * exclude (survey_id, survey_point_id) from ({out['pipeline_survey_point_local']})"
     out["qa_duplicate_images_after"] = q.select(
         "select filename, count(filename) as cc from renamed group by filename having count(filename) > 1 or filename is null"
     )

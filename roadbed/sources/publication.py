@@ -77,15 +77,20 @@ class Publisher:
         own = next((r for r in rows if r.key == key), None)
         return starts | {e.name: e.before for e in (own.tables if own else []) if e.name in starts}
 
-    def publish(self, key: str, tables: Mapping[str, DataFrame]) -> int:
+    def next_version(self) -> int:
+        return 1 + max((r.version for r in self._rows()), default=0)
+
+    def publish(self, key: str, tables: Mapping[str, DataFrame], version: int | None = None) -> int:
         """Write ``tables`` and make them the newest publication; returns its version.
 
         Ids must be those that ``start_ids`` told: above its start, and below what
         later publications use. A key that is published again replaces its tables; the ids of
-        its old rows stay taken.
+        its old rows stay taken. ``version`` must be the next one, if told.
         """
-        rows, starts = self._rows(), self.start_ids(key)
-        version = 1 + max((r.version for r in rows), default=0)
+        rows, starts, coming = self._rows(), self.start_ids(key), self.next_version()
+        if version not in (None, coming):
+            raise ValueError(f"version {coming} comes next, not {version}")
+        version = coming
         folder = f"v{version}-{uuid.uuid4().hex}"
         entries = []
         for name, table in tables.items():
