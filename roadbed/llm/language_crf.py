@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +31,17 @@ EPOCHS = 2
 BATCH_DOCS = 64
 RATE = 0.3
 
-_WORDS = re.compile(r"[^\W\d_]+").findall
+_QUICK, _LETTERS = re.compile(r"[^\W\d_]+").findall, regex.compile(r"\p{L}+").findall
 _POWERS = np.cumprod(np.full(512, 0x9E3779B97F4A7C15, np.uint64))
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters, lower-cased; number signs such as fractions are none."""
+    text = text.lower()
+    found = _QUICK(text)
+    return found if "".join(found).isalpha() else _LETTERS(text)
+
+
 @dataclass
 class Features:
     """Hashed features of a list of words: those of letters, and three of each word."""
@@ -194,7 +202,7 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (doc_id, lang, words)
         for batch in slices(batches)
         for doc_id, lang, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "lang", "text")))
-        if (words := _WORDS(text.lower()))
+        if (words := words_of(text))
     ]
     rows.sort()
     crf, out = fit([row[1:] for row in rows]), io.BytesIO()
@@ -231,7 +239,7 @@ def identify(docs: DataFrame, crf: Crf) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in slices(batches, 64):
-            words = [_WORDS(t.lower()) for t in batch["text"].to_pylist()]
+            words = [words_of(t) for t in batch["text"].to_pylist()]
             found = iter(model.posteriors([w for w in words if w]) if model.labels else [])
             out = []
             for w in words:
