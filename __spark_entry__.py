@@ -195,6 +195,28 @@ def _survey_ids_continue(spark, sf):
     return reduce(DataFrame.union, shown)
 
 
+_EVENT_INSERTS = [
+    "file_name", "event_str", "event_end", "event_name", "link_id", "section_id", "km_start", "km_end", "lane_no",
+]
+
+
+def _insert_files(spark, sf):
+    """Statements of sections and then of events, read back from files of bounded length."""
+    folder, most = f"{stage_root(spark)}/inserts-{uuid.uuid4().hex}", 20_000
+    events = plain(views.key(spark, sf), *_EVENT_INSERTS)
+    tables = [
+        ("sections", plain(views.section_dim(spark, sf)), ["section_part_id"]),
+        ("events", events, ["file_name", "event_str", "section_id"]),
+    ]
+    files = sinks.write_insert_files(tables, folder, rows_per_statement=40, max_bytes=most)
+    lines = spark.read.text([f"{folder}/{name}" for name, _, _ in tables])
+    lines = lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("statement"))
+    too_long = F.raise_error(F.lit("a file is too long")).cast("string")
+    return lines.join(files, "path").select(
+        "table", F.when(F.col("bytes") > most, too_long).otherwise(F.col("statement")).alias("statement")
+    )
+
+
 def _report_order(spark, sf):
     report = reports.gps_lost(views.laser(spark, sf), views.key(spark, sf), CHECKED)
     return plain(sinks.indexed(report, pipeline.REPORT_ORDER["qa_gps_lost"]))
@@ -639,6 +661,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "published_manifest": _published_manifest,
         "survey_ids_continue": _survey_ids_continue,
         "report_order": _report_order,
+        "insert_files": _insert_files,
         "pavement_events": _pavement_events,
         "decode_link": _decode_link,
         "grid_points": _grid_points,

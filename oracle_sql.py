@@ -864,6 +864,21 @@ def oracle_sql() -> dict[str, str]:
              file_name, link_id, km_start, km_end
            from halves join publication using (odd)"""
     )
+    bare = lambda c: f"coalesce(cast({c} as varchar), 'NULL')"
+    told = lambda c: f"coalesce('''' || replace({c}, '''', '''''') || '''', 'NULL')"
+
+    def loaded(table, columns, numbers, rows, order):
+        values = " || ', ' || ".join(bare(c) if c in numbers else told(c) for c in columns)
+        return f"""select '{table}' as "table",
+            'INSERT INTO {table} ({_c(columns)}) VALUES ' || string_agg('(' || vals || ')', ', ' order by rn) || ';' as statement
+          from (select {values} as vals, row_number() over (order by {order}) - 1 as rn from ({rows}) r) v group by rn // 40"""
+
+    events = ["file_name", "event_str", "event_end", "event_name", "link_id", "section_id", "km_start", "km_end", "lane_no"]
+    sections = ["road_id", "road_revision", "section_revision", "section_part_id", "route", "control"]
+    out["insert_files"] = inputs(Sql()).select(
+        loaded("sections", sections, sections[1:], views.SECTION_DIM, "section_part_id") + " union all "
+        + loaded("events", events, ["event_str", "event_end"], "select * from key_v", "file_name, event_str, section_id")
+    )
     out["report_order"] = f"""select row_number() over (order by link_id, date, file_name) - 1 as "index", *
       from ({out["qa_gps_lost"]})"""
     out["section_lookup"] = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,9 +11,15 @@ from pyspark.sql import types as T
 
 from roadbed.functions.geometry import line_wkt, point_wkt
 from roadbed.operators.ordering import with_row_id
+from roadbed.session import stage
 
 _BARE = (T.NumericType, T.BooleanType)
 
+#: rows of an INSERT statement, and bytes of a file of them
+ROWS_PER_STATEMENT, MAX_FILE_BYTES = 500, 64 << 20
+
+_ROW = "__row"
+
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
     """Write parquet; rows of one partition value are brought together first.
@@ -80,5 +87,58 @@ def to_insert_statements(df: DataFrame, table: str) -> DataFrame:
     return df.select(F.concat(F.lit(head), values, F.lit(");")).alias("statement"))
 
 
+def multi_row_statements(
+    df: DataFrame, table: str, order: Sequence[str], rows_per_statement: int = ROWS_PER_STATEMENT
+) -> DataFrame:
+    """(statement_no, n_rows, statement): INSERT statements of several rows each, in ``order``.
+
+    Rows are numbered in order across tasks; a statement has the next
+    ``rows_per_statement`` of them, the last one what is left.
+    """
+    values = F.concat(F.lit("("), F.concat_ws(", ", *[_literal(f) for f in df.schema]), F.lit(")"))
+    numbered = with_row_id(df, order, start=-1, name=_ROW)
+    rows = F.sort_array(F.collect_list(F.struct(_ROW, "values")))  # rows_per_statement at most
+    grouped = (
+        numbered.select(_ROW, values.alias("values"))
+        .groupBy(F.expr(f"{_ROW} div {rows_per_statement}").alias("statement_no"))
+        .agg(F.count("*").alias("n_rows"), rows.alias("rows"))
+    )
+    head = f"INSERT INTO {table} ({', '.join(df.columns)}) VALUES "
+    text = F.array_join(F.transform("rows", lambda r: r["values"]), ", ")
+    return grouped.select("statement_no", "n_rows", F.concat(F.lit(head), text, F.lit(";")).alias("statement"))
+
+
+def write_insert_files(
+    tables: Sequence[tuple[str, DataFrame, Sequence[str]]],
+    folder: str,
+    rows_per_statement: int = ROWS_PER_STATEMENT,
+    max_bytes: int = MAX_FILE_BYTES,
+) -> DataFrame:
+    """Files of INSERT statements that load in order; writes and returns their list.
+
+    ``tables`` are (name, rows, order), parents before children. The list has
+    (load_no, table, path, lines, bytes), also written as ``folder/load_order``:
+    files loaded by ascending number give the tables back. No file is longer
+    than ``max_bytes`` unless one statement is. A table without rows has none.
+    """
+    spark, listed = tables[0][1].sparkSession, []
+    for place, (name, df, order) in enumerate(tables):
+        path = f"{folder}/{name}"
+        statements = stage(multi_row_statements(df, name, order, rows_per_statement), "statements")
+        longest = statements.agg(F.max(F.octet_length("statement"))).first()[0] or 0
+        # ranges become files in order of their names; a long range is cut into several
+        ordered = statements.repartitionByRange("statement_no").sortWithinPartitions("statement_no")
+        per_file = max(1, max_bytes // (longest + 1))
+        ordered.select("statement").write.mode("overwrite").option("maxRecordsPerFile", per_file).text(path)
+        lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
+        size = F.sum(F.octet_length("value") + 1)
+        found = lines.groupBy("path").agg(F.count("*").alias("lines"), size.alias("bytes"))
+        listed.append(found.select(F.lit(place).alias("place"), F.lit(name).alias("table"), "path", "lines", "bytes"))
+    numbered = with_row_id(reduce(DataFrame.union, listed), ["place", "path"], name="load_no")
+    numbered = numbered.select("load_no", "table", "path", "lines", "bytes")
+    numbered.coalesce(1).write.mode("overwrite").parquet(f"{folder}/load_order")  # a row for each file
+    return spark.read.parquet(f"{folder}/load_order")
+
+
 def write_lines(df: DataFrame, column: str, path: str) -> None:
     df.select(column).write.mode("overwrite").text(path)

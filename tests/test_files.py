@@ -120,3 +120,29 @@ def test_publishing_a_day_keeps_the_others(spark, tmp_path):
     again = days.filter("date = '2022-01-02'").withColumn("v", F.lit(5))
     sinks.write_table(again, path, ["date"], ["file_name"])
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 5]
+
+
+def test_insert_files_load_in_order(spark, tmp_path):
+    """Files by ascending number, one statement after the other, give the tables back, parents first."""
+    import duckdb
+
+    survey = spark.range(1, 200).select(F.col("id").alias("survey_id"), F.concat(F.lit("it's "), F.col("id")).alias("name"))
+    points = spark.range(1, 1001).select(F.col("id").alias("point_id"), (1 + F.col("id") % 199).alias("survey_id"), F.when(F.col("id") % 3 > 0, F.col("id") / 4).alias("iri"))
+    nothing = spark.range(0).withColumnRenamed("id", "x")
+    tables = [("survey", survey, ["survey_id"]), ("nothing", nothing, ["x"]), ("point", points, ["point_id"])]
+    files = sinks.write_insert_files(tables, str(tmp_path / "sql"), rows_per_statement=30, max_bytes=3000)
+    listed = files.orderBy("load_no").collect()
+    assert [r.load_no for r in listed] == list(range(1, len(listed) + 1)) and len(listed) > 8
+    assert [r.table for r in listed] == sorted((r.table for r in listed), reverse=True)
+    con = duckdb.connect()
+    con.execute("create table survey (survey_id bigint primary key, name varchar)")
+    con.execute("create table point (point_id bigint, survey_id bigint references survey(survey_id), iri double)")
+    for r in listed:
+        text = open(r.path.removeprefix("file://").removeprefix("file:")).read()
+        assert len(text.encode()) == r.bytes <= 3000 and text.count("\n") == r.lines
+        for statement in text.splitlines():
+            con.execute(statement)
+    assert con.execute("select * from survey").fetchall() == sorted(map(tuple, survey.collect()))
+    assert con.execute("select * from point").fetchall() == sorted(map(tuple, points.collect()))
+    statements = sinks.multi_row_statements(points, "point", ["point_id"], 30).collect()
+    assert sorted(r.n_rows for r in statements) == [10] + [30] * 33
