@@ -599,6 +599,11 @@ def _pipeline_survey_point_local(spark, sf):
     return plain(_conditioned_local(spark, sf)[1])
 
 
+def _qa_summary(spark, sf):
+    """What was counted while the stages were written."""
+    return pipeline.condition_points(_inputs(spark, sf), CHECKED)["qa_summary"]
+
+
 def _qa_unrepaired(spark, sf):
     """Lost points of gaps without a measured point on both sides."""
     stages = pipeline.condition_points(_inputs(spark, sf), CHECKED)
@@ -713,6 +718,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_export_profile_survey_point": _pipeline_export_profile_survey_point,
         "pipeline_interval_export": _pipeline_interval_export,
         "pipeline_changed_runs": _pipeline_changed_runs,
+        "qa_summary": _qa_summary,
         "qa_unrepaired": _qa_unrepaired,
         "qa_duplicate_images_after": _qa_duplicate_images_after,
     }

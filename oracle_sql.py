@@ -812,6 +812,14 @@ def oracle_sql() -> dict[str, str]:
     out["qa_duplicate_images_after"] = q.select(
         "select filename, count(filename) as cc from renamed group by filename having count(filename) > 1 or filename is null"
     )
+    lacking = "iri is null or rutting is null or texture is null or (frame_number is null and chainage % 25 = 0)"
+    out["qa_summary"] = q.select(
+        f"""select 'points' as metric, count(*) as n from pts
+          union all select 'lost_points', count(*) from pts where {LOST}
+          union all select 'missing_values', count(*) from pts where {lacking}
+          union all select 'gap_points', count(*) from gaps
+          union all select 'still_lost', count(*) from smoothed where {LOST}"""
+    )
     out["qa_unrepaired"] = q.select(
         f"""select {dated}, gap_start, gap_end, c_p, meter, chainage, new_p_min, new_p_max from gaps g
           where exists (select 1 from smoothed r where {LOST} and {_on([*_LINK, 'chainage'], 'r', 'g')})"""

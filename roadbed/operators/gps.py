@@ -21,7 +21,7 @@ POINT_ORDER = ["chainage", "event_str", "lon", "lat"]
 REACH = 6
 
 
-def _lost(cfg: Profile) -> Column:
+def is_lost_point(cfg: Profile) -> Column:
     return is_lost(F.col("lon"), F.col("lat"), cfg.null_is_lost)
 
 
@@ -50,11 +50,11 @@ def gps_islands(
     rows = points.select(*LINK, *POINT_ORDER)
     if cfg.compat:
         return _islands_by_row_numbers(rows, cfg, max_rows)
-    before = F.struct("chainage", _lost(cfg).alias("lost"))
+    before = F.struct("chainage", is_lost_point(cfg).alias("lost"))
     flagged = OrderedGroups(rows, LINK, POINT_ORDER, max_rows).frames(
         {"previous": lambda w: F.lag(before).over(w)}, before=1, after=0
     )
-    opens = _lost(cfg) & ~F.coalesce(
+    opens = is_lost_point(cfg) & ~F.coalesce(
         F.col("previous.lost")
         & (F.col("chainage") - F.col("previous.chainage") <= F.lit(cfg.spacing)),
         F.lit(False),
@@ -64,7 +64,7 @@ def gps_islands(
         .running_sum("island", F.col("opens"))
         .to_df()
     )
-    return _island_stats(numbered.filter(_lost(cfg)), "island", cfg)
+    return _island_stats(numbered.filter(is_lost_point(cfg)), "island", cfg)
 
 
 def _islands_by_row_numbers(rows: DataFrame, cfg: Profile, max_rows: int | None) -> DataFrame:
@@ -72,7 +72,7 @@ def _islands_by_row_numbers(rows: DataFrame, cfg: Profile, max_rows: int | None)
     in_place = OrderedGroups(in_link, [*LINK, "lat", "lon"], ["n_link"], max_rows)
     numbered = in_place.row_number("n_place").to_df()
     island = F.col("n_link") - F.col("n_place")
-    return _island_stats(numbered.withColumn("island", island).filter(_lost(cfg)), "island", cfg)
+    return _island_stats(numbered.withColumn("island", island).filter(is_lost_point(cfg)), "island", cfg)
 
 
 def gap_points(
@@ -83,7 +83,7 @@ def gap_points(
     all_points: bool = False,
 ) -> DataFrame:
     """One row per gap and lost grid point in it (any link of the same run)."""
-    wanted = _lost(cfg) & (F.col("status") == "lost")
+    wanted = is_lost_point(cfg) & (F.col("status") == "lost")
     if not all_points:
         wanted = wanted & on_grid(F.col("chainage"), cfg.grid)
     by = LINK if same_link else ["file_name"]
@@ -175,7 +175,7 @@ def unrepaired_points(
 ) -> DataFrame:
     """Gap points that are still lost after the repair."""
     on = [*LINK, "chainage"]
-    still_lost = repaired.filter(_lost(cfg)).select(*on).distinct()
+    still_lost = repaired.filter(is_lost_point(cfg)).select(*on).distinct()
     return gaps.join(still_lost, on, "left_semi")
 
 

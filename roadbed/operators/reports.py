@@ -62,18 +62,22 @@ def one_sided_gaps(points: DataFrame, gaps: DataFrame, cfg: Profile = Profile())
     return anchors.filter(F.col("chainage_end") == F.col("chainage_str"))
 
 
-def missing_values(
-    points: DataFrame, cfg: Profile = Profile(), grid_only: bool = False
-) -> DataFrame:
-    """Points that lack a value. The grid test binds to the last column only,
+def lacks_value(cfg: Profile = Profile(), grid_only: bool = False) -> Column:
+    """Whether a point lacks a value. The grid test binds to the last column only,
     unless ``grid_only`` asks it of all."""
     grid = on_grid(F.col("chainage"), cfg.grid)
     tests: list[Column] = [F.col(c).isNull() for c in cfg.missing_columns]
     if not grid_only:
         tests[-1] = tests[-1] & grid
     lacking = reduce(lambda a, b: a | b, tests)
-    rows = points.filter(lacking & grid) if grid_only else points.filter(lacking)
-    return rows.select(
+    return lacking & grid if grid_only else lacking
+
+
+def missing_values(
+    points: DataFrame, cfg: Profile = Profile(), grid_only: bool = False
+) -> DataFrame:
+    """Points that lack a value, see ``lacks_value``."""
+    return points.filter(lacks_value(cfg, grid_only)).select(
         "file_name", "link_id", "chainage", "iri", "rutting", "texture", "frame_number"
     )
 

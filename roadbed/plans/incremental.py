@@ -9,7 +9,7 @@ with the ids they have; the others are worked out again and get new ids.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -29,7 +29,7 @@ RUN_TABLES = ("survey", "survey_point_local", "survey_image")
 #: tables whose ids go on from one publication to the next
 IDS = {"survey": "survey_id", "survey_point_local": "survey_point_id"}
 
-Work = Callable[[Inputs, Profile], dict[str, DataFrame]]
+Work = Callable[[Inputs, Profile], Mapping[str, DataFrame]]
 
 
 def _rows_digest(df: DataFrame, name: str) -> DataFrame:

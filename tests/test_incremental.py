@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadbed.operators.ordering import with_row_id
 from roadbed.plans.incremental import IDS, condition_changed, only_runs, read_runs, run_digests
-from roadbed.plans.pipeline import Inputs
+from roadbed.plans.pipeline import REPORT_ORDER, Inputs, Tables, reports_with_rows
 from roadbed.schema import Profile
 from roadbed.sources.publication import Publisher
 
@@ -129,3 +129,19 @@ def test_unchanged_runs_are_not_read(spark, tmp_path):
     assert {r.file_name for r in some.collect()} == {RUNS[1]}
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower() or f"file_name#" in plan and "PartitionFilters: [isnotnull" in plan
+
+
+def test_reports_are_built_when_asked_for_and_skipped_when_empty(spark):
+    built = []
+
+    def report(name):
+        built.append(name)
+        return spark.range(1)
+
+    made = {"survey": spark.range(2), **{name: (lambda name=name: report(name)) for name in REPORT_ORDER}}
+    made["qa_summary"] = spark.createDataFrame([("missing_values", 0), ("gap_points", 3), ("still_lost", 0)], "metric string, n bigint")
+    tables = Tables(made)
+    assert len(tables) == len(made) and tables["survey"].count() == 2 and not built
+    wanted = reports_with_rows(tables)
+    assert set(REPORT_ORDER) - set(wanted) == {"qa_missing", "qa_unrepaired"} and not built
+    assert tables["qa_missing"] is tables["qa_missing"] and built == ["qa_missing"]
