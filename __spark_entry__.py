@@ -36,7 +36,7 @@ from roadbed.operators import lines as lines_on
 from roadbed.operators.ordering import with_row_id
 from roadbed.plans import incremental, pipeline
 from roadbed.schema import KEY, LASER, METRICS, WITH_EXPORT, Profile
-from roadbed.session import stage, stage_root
+from roadbed.session import on_workers, stage, stage_root
 from roadbed.sources import landing, rejects, sinks
 from roadbed.sources import sample_views as views
 from roadbed.sources.publication import Publisher
@@ -259,14 +259,19 @@ def _grid_points(spark, sf):
     return plain(grid.select("file_name", "chainage", *flags))
 
 
-def _padded_band_join(spark, sf):
-    joined = assembly.padded_band_join(views.laser(spark, sf), views.key(spark, sf), CHECKED)
+def _padded_band_join(spark, sf, sweep=False):
+    joined = assembly.padded_band_join(views.laser(spark, sf), views.key(spark, sf), CHECKED, sweep)
     return plain(
         joined, "file_name", "date", "link_id", "event_name", "event_str", "event_end",
         "chainage", "lon", "lat",
     )
 
 
+def _padded_sweep_join(spark, sf):
+    on_workers(spark)
+    return _padded_band_join(spark, sf, sweep=True)
+
+
 def _band_join_points(spark, sf):
     tables = views.laser(spark, sf), views.key(spark, sf), views.pic(spark, sf)
     return plain(assembly.points_in_events(*tables, CHECKED), *_POINT_COLUMNS)
@@ -671,6 +676,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "decode_link": _decode_link,
         "grid_points": _grid_points,
         "padded_band_join": _padded_band_join,
+        "padded_sweep_join": _padded_sweep_join,
         "band_join_points": _band_join_points,
         "cap_flags": _cap_flags,
         "link_status": _link_status,

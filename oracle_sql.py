@@ -603,6 +603,7 @@ def oracle_sql() -> dict[str, str]:
         f"""select l.file_name, cast(date as varchar) as date, link_id, event_name, event_str, event_end, l.chainage, {deg('lon')}, {deg('lat')}
           from ev e join laser l on l.file_name = e.file_name and l.chainage between event_str - 5 and event_end + 5"""
     )
+    out["padded_sweep_join"] = out["padded_band_join"]
     out["cap_flags"] = q.select(
         """select file_name, chainage, iri_right as iri_right_raw, iri_right > 800 as iri_right_imputed,
           iri_left as iri_left_raw, iri_left > 800 as iri_left_imputed, true as in_range from laser"""

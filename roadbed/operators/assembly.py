@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roadbed.functions import numbers
 from roadbed.functions.predicates import has_any_fix, is_lost, is_pavement, on_grid
 from roadbed.operators.joins import band_join, update_from
+from roadbed.operators.sweep import sweep_join
 from roadbed.schema import Profile
 
 LINK_KEYS = ("file_name", "date", "link_id")
@@ -19,17 +20,18 @@ def pavement_events(key: DataFrame) -> DataFrame:
     )
 
 
-def padded_band_join(laser: DataFrame, key: DataFrame, cfg: Profile = Profile()) -> DataFrame:
-    """Measured points within 5 m of a pavement event (bounds not rounded)."""
-    return band_join(
-        laser,
-        pavement_events(key),
-        "chainage",
-        "event_str",
-        "event_end",
-        bucket=cfg.bucket,
-        pad=cfg.spacing,
-    )
+def padded_band_join(
+    laser: DataFrame, key: DataFrame, cfg: Profile = Profile(), sweep: bool = False
+) -> DataFrame:
+    """Measured points within 5 m of a pavement event (bounds not rounded).
+
+    ``sweep`` lists fewer event rows (see ``sweep_join``), but shuffles points
+    twice and passes them through Python; the bucket join is faster here.
+    """
+    events, between = pavement_events(key), ("chainage", "event_str", "event_end")
+    if sweep:
+        return sweep_join(laser, events, *between, pad=cfg.spacing)
+    return band_join(laser, events, *between, bucket=cfg.bucket, pad=cfg.spacing)
 
 
 def lost_counts(laser: DataFrame, key: DataFrame, cfg: Profile = Profile()) -> DataFrame:

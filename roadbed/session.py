@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 _SCOPE: ContextVar[str] = ContextVar("stage scope", default="")
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it.
+
+    A cluster installs the package or ships it with ``--py-files``; this is for
+    sessions that were started in another folder.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+
+
 def stage_root(spark: SparkSession) -> str:
     """Shared folder for stage tables, as the cluster names it.
 
