@@ -2,9 +2,10 @@
 
 Texts become lower-case words parted by single spaces. Only texts with a
 keyword are looked at; a rule's pattern runs only where letters stand that any
-match of it has. Hits are resolved in order of place: one that lies inside a kept hit
-goes, and so does one that overlaps a kept hit of higher priority. All of it is
-DataFrame functions; nothing leaves the row.
+match of it has. Rules are sentences that stand in the licenses themselves, and names
+of licenses in the forms they are met in. A hit that lies inside another goes, and so
+does one that overlaps another of higher priority, before or after it; of two at
+one place the surer stays. All of it is DataFrame functions; nothing leaves the row.
 """
 
 from __future__ import annotations
@@ -113,6 +114,159 @@ FORMS = [
     ("(?:{name})(?: (?:software|public|open source|style))? licen[sc]ed?", 0.75),
 ]
 
+# Words of a license itself -> (label, pattern of a sentence with them).
+SIGNATURES = {
+    "permission is hereby granted": [
+        ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+        ("bsl-1", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"),
+        ("ofl-1.1", "permission is hereby granted free of charge to any person obtaining a copy of the font software"),
+        ("unicode", "permission is hereby granted free of charge to any person obtaining a copy of (?:the unicode|data files and any associated)"),
+        ("ncsa", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal with the software"),
+    ],
+    "permission to use copy modify and": [
+        ("isc", "permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted"),
+        ("hpnd", "permission to use copy modify and distribute this software and its documentation for any purpose (?:and )?without fee is hereby granted"),
+        ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement"),
+    ],
+    "above copyright notice and this permission notice": [
+        ("mit", "the above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all copies or substantial portions of the software"),
+        ("isc", "provided that the above copyright notice and this permission notice appear in all copies"),
+    ],
+    "redistribution and use in source and binary forms": [
+        ("bsd", "redistribution and use in source and binary forms with or without modification are permitted(?: subject to the limitations in the disclaimer below)? provided that"),
+        ("bsd-3-clear", "redistribution and use in source and binary forms with or without modification are permitted subject to the limitations in the disclaimer below"),
+    ],
+    "redistributions": [
+        ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+        ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    ],
+    "the end user documentation included with the": [
+        ("apache-1.1", "the end user documentation included with the redistributions? if any must include the following acknowledge?ment"),
+    ],
+    "be used to endorse or promote products derived from this software": [
+        ("bsd-3", "neither the names? of (?:\\S+ ){1,12}(?:nor|and|or) (?:\\S+ ){1,8}may be used to endorse or promote products derived from this software"),
+        ("bsd-3", "the names? of (?:the )?(?:author|contributors?|copyright holders?)s? may (?:not )?be used to endorse or promote products derived from this software"),
+    ],
+    "all advertising materials mentioning features": [
+        ("bsd-4", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ],
+    "you may not use this file except in compliance": [
+        ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"),
+        ("mpl-1.1", "the contents of this file are subject to the mozilla public license version 1 1 the license you may not use this file except in compliance"),
+        ("cddl-1", "subject to the terms of the common development and distribution license (?:\\S+ ){0,12}you may not use this file except in compliance"),
+        ("eupl-1.2", "licensed under the eupl (?:\\S+ ){0,24}you may not use this file except in compliance"),
+    ],
+    "terms and conditions for use reproduction and distribution": [
+        ("apache-2", "apache license version 2 0 january 2004 (?:http \\S+ apache org licenses )?terms and conditions for use reproduction and distribution"),
+    ],
+    "each contributor hereby grants to you a perpetual worldwide": [
+        ("apache-2", "subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable"),
+    ],
+    "you can redistribute it and or modify it under the terms of": [
+        ("gpl-2", "free software you can redistribute it and or modify it under the terms of the gnu general public license (?:version 2 )?as published by the free software foundation(?: either)? version 2"),
+        ("gpl-3", "free software you can redistribute it and or modify it under the terms of the gnu general public license (?:version 3 )?as published by the free software foundation(?: either)? version 3"),
+        ("lgpl-2.1", "free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation(?: either)? version 2 1"),
+        ("lgpl-3", "free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation(?: either)? version 3"),
+        ("agpl-3", "free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation(?: either)? version 3"),
+        ("wtfpl", "comes without any warranty (?:\\S+ ){0,8}you can redistribute it and or modify it under the terms of the do what"),
+    ],
+    "licenses for most software": [
+        ("gpl-2", "the licenses for most software are designed to take away your freedom to share and change it by contrast the gnu general public license"),
+    ],
+    "free copyleft license for software": [
+        ("gpl-3", "the gnu general public license is a free copyleft license for software and other kinds of works"),
+        ("agpl-3", "the gnu affero general public license is a free copyleft license for software and other kinds of works"),
+    ],
+    "incorporates the terms and conditions of version 3": [
+        ("lgpl-3", "this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license"),
+    ],
+    "specially designated software packages": [
+        ("lgpl-2.1", "the lesser general public license applies to some specially designated software packages"),
+    ],
+    "copy distribute and or modify this document": [
+        ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ],
+    "source code form is subject to the terms": [
+        ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ],
+    "accompanying materials are made available under": [
+        ("epl-1", "accompanying materials are made available under the terms of the eclipse public license (?:v|version )? ?1 0"),
+        ("epl-2", "accompanying materials are made available under the terms of the eclipse public license (?:v|version )? ?2 0"),
+    ],
+    "the accompanying program is provided under": [
+        ("epl-1", "the accompanying program is provided under the terms of this eclipse public license"),
+        ("cpl-1", "the accompanying program is provided under the terms of this common public license"),
+    ],
+    "origin of this software must not be misrepresented": [
+        ("zlib", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ],
+    "altered source versions must be plainly marked": [
+        ("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ],
+    "unencumbered software released into the public domain": [
+        ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ],
+    "anyone is free to copy modify publish": [
+        ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary"),
+    ],
+    "waive all copyright and related": [
+        ("cc0", "waive all copyright and related (?:or|and) neighboring rights"),
+    ],
+    "everyone is permitted to copy and distribute": [
+        ("gnu-text", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+        ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed"),
+    ],
+    "you just do what the": [("wtfpl", "0 you just do what the \\S+ you want to")],
+    "copying and distribution of this file with or without modification": [
+        ("fsf-all-permissive", "copying and distribution of this file with or without modification are permitted in any medium without royalty"),
+    ],
+    "copyright holder maintains some semblance of artistic control": [
+        ("artistic-1", "the copyright holder maintains some semblance of artistic control over the development of the package"),
+    ],
+    "retains some artistic control": [
+        ("artistic-2", "the copyright holder retains some artistic control over the development of that package"),
+    ],
+    "this product includes software developed by": [
+        ("openssl", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+        ("apache-1.1", "this product includes software developed by the apache software foundation"),
+        ("bsd-4", "this product includes software developed by the university of california"),
+    ],
+    "python software foundation psf": [
+        ("psf-2", "this license agreement is between the python software foundation psf and the individual or organization"),
+    ],
+    "this license governs use of the accompanying software": [
+        ("ms-pl", "this license governs use of the accompanying software if you use the software you accept this license"),
+    ],
+    "reserved font name": [
+        ("ofl-1.1", "no modified version of the font software may use the reserved font name"),
+    ],
+    "make the functionality of the program": [
+        ("sspl-1", "if you make the functionality of the program or a modified version available to third parties as a service"),
+    ],
+    "share copy and redistribute the material in any medium": [
+        ("cc-by", "share copy and redistribute the material in any medium or format"),
+    ],
+    "you may not use the material for commercial purposes": [
+        ("cc-by-nc", "you may not use the material for commercial purposes"),
+    ],
+    "you must distribute your contributions under the same license": [
+        ("cc-by-sa", "you must distribute your contributions under the same license as the original"),
+    ],
+    "you may not distribute the modified material": [
+        ("cc-by-nd", "if you remix transform or build upon the material you may not distribute the modified material"),
+    ],
+    "as is without warranty of any kind": [
+        ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ],
+    "confidential": [
+        ("proprietary", "unauthori[sz]ed copying of this file via any medium is strictly prohibited proprietary and confidential"),
+        ("proprietary", "this software is (?:the )?confidential and proprietary information of"),
+    ],
+}
+
+#: weight of a sentence of a license
+_SIGNED = 0.99
+
 #: names that speak for themselves need no word "license" beside them
 _ALONE = {"creative commons", "cc", "general public", "gpl", "public domain", "rights reserved", "apache"}
 
@@ -123,10 +277,13 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LETTER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 #: a text without any of these has no license: each form has a word of the first
-#: line, each name of ``_ALONE`` one of the second
+#: line, each name of ``_ALONE`` one of the second, each signature one of all
 _GATE = (
     r"(?i)licen[sc]e|under|subject|accordance|governed"
     rf"|(?<!{_LETTER})cc0?(?!{_LETTER})|gpl|commons|rights|domain|apache|public"
+    r"|permission|permitted|copyright|redistribut|endorse|acknowledg|misrepresented|warrant|reserved"
+    r"|anyone[\W_]+is[\W_]+free|you[\W_]+just[\W_]+do|functionality|third[\W_]+parties|material|confidential"
+    r"|software[\W_]+developed|specially[\W_]+designated|artistic|compliance"
 )
 
 
@@ -150,8 +307,11 @@ def _needed(pattern: str) -> list[str]:
 
 
 def rules() -> list[tuple[list[str], list[tuple[str, str, int, float]]]]:
-    """(needed, [(pattern, label, priority, weight)]): every name in every form."""
-    out = []
+    """(needed, [(pattern, label, priority, weight)]): sentences, and every name in every form."""
+    out = [
+        (_needed(keyword), [(f" (?:{pattern})(?= )", label, 0, _SIGNED) for label, pattern in own])
+        for keyword, own in SIGNATURES.items()
+    ]
     for keyword, names in FAMILIES.items():
         forms = FORMS + [("(?:{name})", 0.6)] * (keyword in _ALONE)
         for label, name, short in names:
@@ -182,44 +342,100 @@ def _table() -> Column:
     )
 
 
+#: matches of a rule that are put in place by one fold, as a fold copies what it has
+_CHUNK = 128
+
+
 def _places(norm: Column, rule: Column) -> Column:
-    """Hits of a rule: a match starts where the pieces and matches before it end."""
+    """Hits of a rule: a match starts where the pieces and matches before it end.
+
+    Matches are taken in chunks, each from where the chunks before it end.
+    """
     gaps = F.transform(F.split(norm, rule.pattern, -1), F.length)
     sizes = F.transform(F.regexp_extract_all(norm, rule.pattern, F.lit(0)), F.length)
     steps = F.zip_with(gaps, sizes, lambda gap, size: F.struct(gap.alias("gap"), size.alias("size")))
+    steps = F.filter(steps, lambda x: x["size"].isNotNull())
+
+    def length(x: Column) -> Column:
+        return x["gap"] + x["size"]
 
-    def step(at: Column, x: Column) -> Column:
-        start = at["at"] + x["gap"]
+    def step(done: Column, x: Column) -> Column:
+        start = done["at"] + x["gap"]
         hit = F.struct(
             start.alias("start"), (-x["size"]).alias("neg_size"), rule.priority.alias("priority"),
             rule.label.alias("label"), rule.weight.alias("weight"),
         )
-        more = F.when(x["size"].isNotNull(), F.concat(at["hits"], F.array(hit))).otherwise(at["hits"])
-        return F.struct((start + F.coalesce(x["size"], F.lit(0))).alias("at"), more.alias("hits"))
+        return F.struct((start + x["size"]).alias("at"), F.concat(done["hits"], F.array(hit)).alias("hits"))
 
-    none = "cast(array() as array<struct<start:int,neg_size:int,priority:int,label:string,weight:double>>)"
-    zero = F.struct(F.lit(0).alias("at"), F.expr(none).alias("hits"))
-    return F.aggregate(steps, zero, step, lambda done: done["hits"])
+    def placed(chunk: Column) -> Column:
+        zero = F.struct(chunk["at"].alias("at"), F.expr(_NO_HITS).alias("hits"))
+        return F.aggregate(chunk["steps"], zero, step, lambda done: done["hits"])
+
+    def in_chunks(steps: Column) -> Column:
+        last = F.floor((F.size(steps) - 1) / _CHUNK).cast("int")
+        chunks = F.transform(
+            F.sequence(F.lit(0), last),
+            lambda k: F.slice(steps, k * _CHUNK + 1, F.lit(_CHUNK)),
+        )
+        return F.transform(
+            chunks, lambda own: F.struct(own.alias("steps"), F.aggregate(own, F.lit(0), lambda n, x: n + length(x)).alias("n"))
+        )
+
+    def started(chunks: Column) -> Column:
+        return F.transform(
+            chunks,
+            lambda own, k: F.struct(
+                F.aggregate(F.slice(chunks, F.lit(1), k), F.lit(0), lambda n, before: n + before["n"]).alias("at"),
+                own["steps"].alias("steps"),
+            ),
+        )
+
+    # a list of one, so that what is worked out once has a name
+    named = F.transform(F.array(steps), in_chunks)
+    return F.flatten(F.flatten(F.transform(named, lambda chunks: F.transform(started(chunks), placed))))
+
+
+_NO_HITS = "cast(array() as array<struct<start:int,neg_size:int,priority:int,label:string,weight:double>>)"
+_NONE_OPEN = "cast(array() as array<struct<end:int,priority:int,label:string,weight:double,gone:boolean>>)"
 
 
 def _resolved(hits: Column) -> Column:
-    """(labels, doubt) of the hits that stay; doubt is what all of them leave."""
+    """(labels, doubt) of the hits that stay; doubt is what all of them leave.
+
+    A hit is open until one starts behind its end: until then a surer one can
+    still meet it. Matches have bounded length, so few are open at once.
+    """
+
+    def settled(kept: Column, ended: Column) -> Column:
+        stay = F.filter(ended, lambda hit: ~hit["gone"])
+        return F.struct(
+            F.array_union(kept["labels"], F.transform(stay, lambda hit: hit["label"])).alias("labels"),
+            F.aggregate(stay, kept["doubt"], lambda doubt, hit: doubt * (1 - hit["weight"])).alias("doubt"),
+        )
 
     def step(kept: Column, hit: Column) -> Column:
         end = hit["start"] - hit["neg_size"]
-        gone = (end <= kept["end"]) | ((hit["start"] < kept["end"]) & (hit["priority"] > kept["priority"]))
+        done = settled(kept["done"], F.filter(kept["open"], lambda x: x["end"] <= hit["start"]))
+        still = F.filter(kept["open"], lambda x: x["end"] > hit["start"])
+        met = F.transform(
+            still,
+            lambda x: F.struct(
+                x["end"].alias("end"), x["priority"].alias("priority"), x["label"].alias("label"), x["weight"].alias("weight"),
+                (x["gone"] | (x["priority"] > hit["priority"])).alias("gone"),
+            ),
+        )
         new = F.struct(
-            F.greatest(kept["end"], end).alias("end"), hit["priority"].alias("priority"),
-            F.array_union(kept["labels"], F.array(hit["label"])).alias("labels"),
-            (kept["doubt"] * (1 - hit["weight"])).alias("doubt"),
+            end.alias("end"), hit["priority"].alias("priority"), hit["label"].alias("label"), hit["weight"].alias("weight"),
+            F.exists(still, lambda x: x["priority"] < hit["priority"]).alias("gone"),
         )
-        return F.when(gone, kept).otherwise(new)
+        after = F.struct(
+            end.alias("last"), done.alias("done"), F.concat(met, F.array(new)).alias("open")
+        )
+        return F.when(end <= kept["last"], kept).otherwise(after)
 
-    zero = F.struct(
-        F.lit(-1).alias("end"), F.lit(0).alias("priority"),
-        F.expr("cast(array() as array<string>)").alias("labels"), F.lit(1.0).cast("double").alias("doubt"),
-    )
-    return F.aggregate(F.array_sort(hits), zero, step)
+    nothing = F.struct(F.expr("cast(array() as array<string>)").alias("labels"), F.lit(1.0).cast("double").alias("doubt"))
+    zero = F.struct(F.lit(-1).alias("last"), nothing.alias("done"), F.expr(_NONE_OPEN).alias("open"))
+    return F.aggregate(F.array_sort(hits), zero, step, lambda kept: settled(kept["done"], kept["open"]))
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
