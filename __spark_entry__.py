@@ -542,6 +542,16 @@ def _interval_export(spark, sf):
     return plain(export.interval_export(local, renamed, lines, dim, CHECKED))
 
 
+def _interval_export_csv(spark, sf):
+    """The interval export as one CSV file, read back."""
+    on_workers(spark)
+    rows = _interval_export(spark, sf)
+    path = sinks.local_path(f"{stage_root(spark)}/intervals-{uuid.uuid4().hex}.csv")
+    sinks.write_csv_file(rows, path, ["road_id", "section_code", "km_start", "km_end"])
+    schema = T.StructType([T.StructField("index", T.LongType()), *rows.schema])
+    return spark.read.schema(schema).option("header", True).csv(f"file://{path}").drop("index")
+
+
 def _qa_gps_lost(spark, sf):
     return plain(reports.gps_lost(views.laser(spark, sf), views.key(spark, sf), CHECKED))
 
@@ -705,6 +715,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "interval_lengths": _interval_lengths,
         "interval_lengths_compat": _interval_lengths_compat,
         "interval_export": _interval_export,
+        "interval_export_csv": _interval_export_csv,
         "image_dirs": _image_dirs,
         "image_copy_manifest": _image_copy_manifest,
         "insert_statements": _insert_statements,

@@ -772,6 +772,7 @@ def oracle_sql() -> dict[str, str]:
     out["interval_export"] = q.select(
         f"select {_c(export_columns)}, {deg('lon')}, {deg('lat')} from exported"
     )
+    out["interval_export_csv"] = out["interval_export"]
     quoted = ["link_id", "survey_code", "run_code", "date", "remark", "run_new", "directory", "filename", "imagepath", "file_name"]
 
     def inserts(table, columns, rows):

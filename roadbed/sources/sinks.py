@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import uuid
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadbed.functions.geometry import line_wkt, point_wkt
 from roadbed.operators.ordering import with_row_id
-from roadbed.session import stage
+from roadbed.session import remove, stage, stage_root
 
 _BARE = (T.NumericType, T.BooleanType)
 
@@ -57,6 +61,69 @@ def write_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
     csv_ready(indexed(df, order)).write.mode("overwrite").option("header", True).csv(path)
 
 
+_COPY_BYTES = 4 << 20
+
+
+def _place_parts(batches: Iterator[pa.RecordBatch], target: str) -> Iterator[pa.RecordBatch]:
+    """Copies each listed part to its own place in the file; repeating it changes nothing."""
+    for batch in batches:
+        for path, at in zip(batch["path"].to_pylist(), batch["at"].to_pylist()):
+            done = 0
+            with open(local_path(path), "rb") as part, open(target, "r+b") as whole:
+                whole.seek(at)
+                while block := part.read(_COPY_BYTES):
+                    done += whole.write(block)
+            yield pa.record_batch([pa.array([path]), pa.array([done], pa.int64())], ["path", "bytes"])
+
+
+def local_path(path: str) -> str:
+    """A path below the shared folder, without the scheme ``file``."""
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    if "://" in path:
+        raise ValueError(f"{path}: one file needs a folder that can be written at any place")
+    return path
+
+
+def write_csv_file(df: DataFrame, path: str, order: Sequence[str]) -> None:
+    """One CSV file at ``path``, with header and row index, rows by ``order``.
+
+    Tasks write lines in ordered parts; the list of parts and their sizes is
+    committed, which fixes where each belongs, and tasks copy the parts to their
+    places in the file, side by side. It appears under its name once it is whole.
+    ``path`` is in a folder all executors share and can write at any place; for
+    other stores ``write_csv`` gives the parts. No rows give the header alone.
+    """
+    spark, target = df.sparkSession, local_path(path)
+    ready = csv_ready(indexed(df, order))
+    index = ready.columns[0]
+    header = ",".join('"' + c.replace('"', '""') + '"' if set(c) & set('",\n') else c for c in ready.columns) + "\n"
+    # marks as Spark's CSV reader takes them: doubled, not escaped
+    line = F.to_csv(F.struct(*ready.columns), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    lines = ready.select(index, line.alias("line")).repartitionByRange(index).sortWithinPartitions(index)
+    parts = f"{stage_root(spark)}/csv-{uuid.uuid4().hex}"
+    lines.select("line").write.text(parts)
+    # names of parts follow their order; sizes are of what the job committed
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(parts)
+    listed = with_row_id(listed.select("path", F.col("length").alias("bytes")), ["path"], name="part")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    at = F.coalesce(F.sum("bytes").over(before), F.lit(0)) + len(header.encode())
+    listed = stage(listed.withColumn("at", at.cast("bigint")), "csv-parts")
+    size = listed.agg(F.max(F.col("at") + F.col("bytes"))).first()[0] or len(header.encode())
+    growing = f"{target}.{uuid.uuid4().hex}"
+    os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
+    with open(growing, "wb") as whole:
+        whole.write(header.encode())
+        whole.truncate(size)
+    tasks = max(1, min(listed.count(), spark.sparkContext.defaultParallelism))
+    copied = listed.repartition(tasks, "part").mapInArrow(lambda b: _place_parts(b, growing), "path string, bytes bigint")
+    if (copied.agg(F.sum("bytes")).first()[0] or 0) + len(header.encode()) != size:
+        os.remove(growing)
+        raise OSError(f"{path}: parts are not whole")
+    os.replace(growing, target)
+    remove(spark, parts)
+
+
 def _is_position(kind: T.DataType) -> bool:
     return isinstance(kind, T.StructType) and {"lon", "lat"} <= set(kind.names)
 
