@@ -1,8 +1,9 @@
 """WARC archives: a deterministic sharded writer, and a reader.
 
 Rows are dealt into ranges of page_id (exact ranks, so the same rows give the
-same files), sorted, and written as gzip members. A file is closed once its
-compressed size passes a limit. Headers, record ids and digests are made anew
+same files), sorted, and written as gzip members. How many ranges there are follows
+from the bytes of all payloads. A file is closed once its compressed size passes a
+limit, which is less than a range has. Headers, record ids and digests are made anew
 from the row. Tasks write under temporary names and report their files in a
 manifest table; only files that a committed manifest lists get their final
 names, so a lost or repeated task leaves nothing behind that is read.
@@ -26,10 +27,11 @@ from roadbed.llm.common import NULL_KEY, ordered_shards, shard_of, staged
 from roadbed.session import stage_root
 
 #: a file is closed when it has more compressed bytes
-ROLL_BYTES = 32 << 20
+ROLL_BYTES = 8 << 20
+#: payload bytes of a shard, which one task sorts and streams: some files of it
+SHARD_BYTES = 128 << 20
 #: payloads of fewer bytes are never revisits
 MIN_REVISIT_BYTES = 100
-ROWS_PER_SHARD = 500
 #: tasks that read an archive, at most
 MAX_READ_TASKS = 20_000
 #: records carry one date, that equal rows may give equal files
@@ -125,14 +127,15 @@ def _entries(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names)
 
 
-def write_warc(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, rows_per_shard: int = ROWS_PER_SHARD) -> DataFrame:
+def write_warc(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, rows_per_shard: int | None = None) -> DataFrame:
     """Writes ``pages`` (page_id, url, html) under ``folder``; returns the manifest.
 
     Of records with equal payloads of at least ``MIN_REVISIT_BYTES`` those with
     the smallest page_id are responses, the others revisits of it; rows that
     repeat this id are all responses, and so are all rows of a payload that only
     rows without an id have. NULL html is an empty payload; a NULL url is kept
-    apart from an empty one. No rows give no files. The manifest is a table in
+    apart from an empty one. ``rows_per_shard`` is worked out from ``SHARD_BYTES`` unless
+    it is given. No rows give no files. The manifest is a table in
     ``folder``/manifest; a folder is written once.
     """
     spark = pages.sparkSession
@@ -142,6 +145,10 @@ def write_warc(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, rows
     )
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     rows = rows.withColumn("key", F.coalesce("page_id", F.lit(NULL_KEY))).withColumn("tie", F.xxhash64("digest", "url"))
+    if rows_per_shard is None:
+        size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("payload")).alias("bytes")).first()
+        shards = max(1, -(-(size["bytes"] or 0) // SHARD_BYTES))
+        rows_per_shard = max(1, -(-size["n"] // shards))
     bounds = ordered_shards(rows, "key", "tie", rows_per_shard)
     rows = rows.withColumn("shard", shard_of(bounds, "key", "tie"))
     # without payloads: which rows a revisit mark must precede
@@ -153,7 +160,8 @@ def write_warc(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, rows
     whole = rows.select("shard", "key", "tie", "digest", F.lit(None).cast("bigint").alias("first"), "page_id", "url", "payload", F.lit(1).alias("kind"))
     marked = marks.select("shard", "key", "tie", "digest", "first", F.lit(None).cast("bigint").alias("page_id"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), F.lit(0).alias("kind"))
     order = ["shard", "key", "tie", "digest", "kind", "url"]
-    dealt = whole.union(marked).repartition("shard").sortWithinPartitions(*order)
+    # as many tasks as shards: a number of its own, which is not coalesced
+    dealt = whole.union(marked).repartition(max(1, len(bounds)), "shard").sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, mark = None, None
