@@ -281,9 +281,8 @@ _LETTER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _GATE = (
     r"(?i)licen[sc]e|under|subject|accordance|governed"
     rf"|(?<!{_LETTER})cc0?(?!{_LETTER})|gpl|commons|rights|domain|apache|public"
-    r"|permission|permitted|copyright|redistribut|endorse|acknowledg|misrepresented|warrant|reserved"
-    r"|anyone[\W_]+is[\W_]+free|you[\W_]+just[\W_]+do|functionality|third[\W_]+parties|material|confidential"
-    r"|software[\W_]+developed|specially[\W_]+designated|artistic|compliance"
+    r"|software|permi(?:ssion|tted)|redistribut|artistic|functionality|commercial|confidential"
+    r"|modified[\W_]+material|you[\W_]+just[\W_]+do"
 )
 
 
