@@ -160,8 +160,8 @@ def write_warc(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, rows
     whole = rows.select("shard", "key", "tie", "digest", F.lit(None).cast("bigint").alias("first"), "page_id", "url", "payload", F.lit(1).alias("kind"))
     marked = marks.select("shard", "key", "tie", "digest", "first", F.lit(None).cast("bigint").alias("page_id"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), F.lit(0).alias("kind"))
     order = ["shard", "key", "tie", "digest", "kind", "url"]
-    # as many tasks as shards: a number of its own, which is not coalesced
-    dealt = whole.union(marked).repartition(max(1, len(bounds)), "shard").sortWithinPartitions(*order)
+    # one task for each shard: not hashed, so no two share one
+    dealt = whole.union(marked).repartitionById(max(1, len(bounds)), F.col("shard")).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, mark = None, None
