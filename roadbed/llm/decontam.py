@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages are TF-IDF vectors over hashed words, with frequencies over the passages
-of all documents. A randomised SVD, worked out by sums over tasks from all benchmark
-passages and a fixed share of the documents, gives the latent space. Every window
+of all documents. A randomised SVD, worked out by sums over tasks from all passages
+of the benchmark and of the documents, gives the latent space. Every window
 of every document is compared with every benchmark passage by cosine in that
 space; windows that share a run of words with a passage are candidates as well,
 so what is copied word by word is found however little weight its words have.
@@ -28,16 +28,16 @@ from roadbed.llm.common import slices, staged, texts
 
 BUCKETS = 1 << 15
 RANK = 64
-#: more directions than kept, and passes over the sample
+#: more directions than kept, and times all passages are read for them
 OVERSAMPLE, PASSES = 8, 3
 #: words of a window (two strides), and from one window to the next
 WINDOW, STRIDE = 64, 32
-#: words, and cosines, of texts that are worked out together
-TOGETHER, COSINES = 4096, 4_000_000
-#: one document in so many helps to learn the latent space, beside the whole benchmark
-FIT_SHARE = 256
-#: rows of the space that are summed together, and rows of passages a task sums
-SUM_ROWS, FIT_ROWS = 1024, 2000
+#: words, and cosines, of texts that are worked out together, and letters a word has about
+TOGETHER, COSINES, LETTERS = 4096, 4_000_000, 6
+#: passages whose buckets are looked up together
+GROUP = 8
+#: rows of the space that are summed together, passages a task sums at least, and the most such tasks
+SUM_ROWS, FIT_ROWS, FIT_TASKS = 1024, 131_072, 256
 #: benchmark passages compared in one go; documents are read once for each such block
 BLOCK = 16_384
 CANDIDATE_COSINE = 0.5
@@ -82,13 +82,26 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS
 
 
+def codes_together(found: list[str]) -> list[np.ndarray]:
+    """``codes`` of each text, worked out in one go."""
+    lowered = [text.lower() for text in found]
+    start, own = _hashes("\n".join(lowered))
+    first = np.cumsum([len(text) + 1 for text in lowered[:-1]])
+    return np.split(own, np.searchsorted(start, first))
+
+
 def codes(text: str) -> np.ndarray:
-    """A hash of each word of a text, in order: those of ``words_of``, without making them.
+    """A hash of each word of a text, in order: those of ``words_of``, without making them."""
+    return _hashes(text.lower())[1]
+
+
+def _hashes(lowered: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of a text in lower case starts, and its hash.
 
     The hash of a word is a polynomial in its letters, the difference of two sums
     over the letters before its end and its start.
     """
-    letters = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    letters = np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), np.uint32)
     inside = np.zeros(len(letters) + 2, np.int8)
     inside[1:-1] = _word_letters()[letters]
     border = np.flatnonzero(np.diff(inside))
@@ -99,7 +112,20 @@ def codes(text: str) -> np.ndarray:
     own = (sums[end] - sums[start]) * inverse[start]
     # the last bits of such a sum know the last bits of the letters only
     own = (own ^ own >> np.uint64(32)) * _MIX
-    return own ^ own >> np.uint64(29)
+    return start, own ^ own >> np.uint64(29)
+
+
+def together(found: list[str]) -> Iterator[list[str]]:
+    """Texts in lists of some ``TOGETHER`` words; a long text ends its list."""
+    held, n = [], 0
+    for text in found:
+        held.append(text)
+        n += len(text)
+        if n >= TOGETHER * LETTERS:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
 def in_buckets(code: np.ndarray) -> np.ndarray:
@@ -121,8 +147,48 @@ def seeds(code: np.ndarray) -> np.ndarray:
     return mixed
 
 
-def passage_frequencies(docs: DataFrame) -> np.ndarray:
-    """Inverse frequency of every bucket, over the passages of all documents.
+def passage_buckets(rows: DataFrame, name: str) -> DataFrame:
+    """(own, passage, tf) of every ``GROUP`` passages that follow each other, written once.
+
+    Passages meet their buckets: ``own`` is the bucket, in order, ``passage`` the number
+    of the passage in the group and ``tf`` how often the bucket is met there.
+    """
+
+    def grouped(ids: list[np.ndarray]) -> Iterator[tuple[bytes, bytes, bytes]]:
+        words = np.array([len(i) for i in ids])
+        n = -(-words // WINDOW)
+        first = np.repeat(np.cumsum(n) - n, words)
+        within = np.arange(words.sum()) - np.repeat(np.cumsum(words) - words, words)
+        passage = first + within // WINDOW
+        keys = (passage // GROUP * BUCKETS + np.concatenate(ids)) * GROUP + passage % GROUP
+        keys.sort()
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        tf = np.diff(starts, append=len(keys)).astype(np.uint8)
+        keys = keys[starts]
+        own = (keys // GROUP & (BUCKETS - 1)).astype(np.uint16)
+        numbers = (keys % GROUP).astype(np.uint8)
+        ends = np.cumsum(np.bincount(keys // (GROUP * BUCKETS))).tolist()
+        for at, end in zip([0, *ends], ends):
+            yield own[at:end].tobytes(), numbers[at:end].tobytes(), tf[at:end].tobytes()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = []
+            for held in together(batch["text"].to_pylist()):
+                if ids := [in_buckets(code) for code in codes_together(held) if len(code)]:
+                    found += grouped(ids)
+            columns = zip(*found) if found else ([], [], [])
+            yield pa.record_batch([pa.array(c, pa.binary()) for c in columns], ["own", "passage", "tf"])
+
+    return staged(rows.select("text").mapInArrow(count, "own binary, passage binary, tf binary"), name)
+
+
+def _joined(column: pa.Array, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def passage_frequencies(passages: DataFrame) -> tuple[np.ndarray, int]:
+    """Inverse frequency of every bucket over all passages, and their number.
 
     A passage has as many words in a long text as in a short one, so long texts
     do not touch every bucket.
@@ -131,42 +197,50 @@ def passage_frequencies(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(BUCKETS, np.int64), 0
         for batch in slices(batches):
-            met = [np.array([], np.int64)]
-            for text in batch["text"].to_pylist():
-                ids = buckets(text)
-                met.append(np.unique(np.arange(len(ids)) // WINDOW * BUCKETS + ids))
-                n += -(-len(ids) // WINDOW)
-            df += np.bincount(np.concatenate(met) & (BUCKETS - 1), minlength=BUCKETS)
+            df += np.bincount(_joined(batch["own"], np.uint16), minlength=BUCKETS)
+            n += sum(max(numbers) + 1 for numbers in batch["passage"].to_pylist())
         found = np.flatnonzero(df)
         columns = [pa.array(np.append(found, BUCKETS)), pa.array(np.append(df[found], n))]
         yield pa.record_batch(columns, ["bucket", "n"])
 
-    counted = texts(docs).mapInArrow(count, "bucket bigint, n bigint").groupBy("bucket").sum("n").collect()
+    counted = passages.select("own", "passage").mapInArrow(count, "bucket bigint, n bigint")
     df = np.zeros(BUCKETS + 1)  # as many rows as buckets
-    for bucket, n in counted:
+    for bucket, n in counted.groupBy("bucket").sum("n").collect():
         df[bucket] = n
     idf = np.log((df[BUCKETS] + EXTRA_PASSAGES) / (df[:BUCKETS] + 1)).astype(np.float32)
-    return np.where(idf < STOP_IDF, np.float32(0), idf)
+    return np.where(idf < STOP_IDF, np.float32(0), idf), int(df[BUCKETS])
 
 
 def _vectors(batch: pa.RecordBatch, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(buckets, weights) of passages of a batch, as long as their text counts."""
-    for text, length in zip(batch["text"].to_pylist(), batch["length"].to_pylist()):
-        ids = buckets(text)
-        for at in range(0, len(ids), WINDOW):
-            own, tf = np.unique(ids[at : at + WINDOW], return_counts=True)
-            weight = tf * idf[own]
-            if norm := float(np.sqrt((weight * weight).sum())):
-                yield own, (weight * (length / norm)).astype(np.float32)
-
-
-def _image(sample: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """What all passages of ``sample`` make of the directions ``q``.
+    """(buckets, passages x buckets) of groups of passages of unit length; what weighs nothing is left out."""
+    own, number = _joined(batch["own"], np.uint16).astype(np.int64), _joined(batch["passage"], np.uint8)
+    group = np.repeat(np.arange(batch.num_rows), [len(o) // 2 for o in batch["own"].to_pylist()])
+    weight = _joined(batch["tf"], np.uint8) * idf[own]
+    kept = np.flatnonzero(weight)
+    own, group, weight = own[kept], group[kept], weight[kept]
+    passage = group * GROUP + number[kept]
+    weight /= np.sqrt(np.bincount(passage, weight * weight)).astype(np.float32)[passage]
+    # the place of each bucket among those of its group
+    new = np.append(True, (own[1:] != own[:-1]) | (group[1:] != group[:-1]))[: len(own)]
+    starts = np.flatnonzero(new)
+    live, n_live = own[starts], np.bincount(group[starts], minlength=batch.num_rows)
+    firsts = np.cumsum(n_live) - n_live
+    place = (passage % GROUP) * n_live[group] + np.cumsum(new) - 1 - firsts[group]
+    ends = np.cumsum(np.bincount(group, minlength=batch.num_rows)).tolist()
+    for at, end, first, n in zip([0, *ends], ends, firsts.tolist(), n_live.tolist()):
+        if n:
+            dense = np.zeros(GROUP * n, np.float32)
+            dense[place[at:end]] = weight[at:end]
+            yield live[first : first + n], dense.reshape(GROUP, n)
+
+
+def _image(passages: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """What all passages make of the directions ``q``.
 
     Tasks send the rows they touch, in parts of ``SUM_ROWS`` rows that are summed in
     parallel; the sum has the fixed size of ``q``.
     """
-    context = sample.sparkSession.sparkContext
+    context = passages.sparkSession.sparkContext
     shared, width = context.broadcast((idf, q)), q.shape[1]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +248,10 @@ def _image(sample: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
         total, touched = np.zeros_like(q), np.zeros(len(q), bool)
         for batch in slices(batches):
             for own, weight in _vectors(batch, idf):
-                total[own] += weight[:, None] * (weight @ q[own])
+                # buckets are in range; without checks rows are copied faster
+                found = total.take(own, axis=0, mode="clip")
+                found += weight.T @ (weight @ q.take(own, axis=0, mode="clip"))
+                total[own] = found
                 touched[own] = True
         for at in range(0, len(q), SUM_ROWS):
             rows = np.flatnonzero(touched[at : at + SUM_ROWS])
@@ -191,7 +268,7 @@ def _image(sample: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
         for at, part in total.items():
             yield pa.record_batch([pa.array([at]), pa.array([part.tobytes()])], ["at", "part"])
 
-    parts = sample.mapInArrow(apply, "at bigint, rows binary, part binary").repartition("at")
+    parts = passages.mapInArrow(apply, "at bigint, rows binary, part binary").repartition("at")
     image = np.zeros_like(q)
     for at, part in parts.mapInArrow(add, "at bigint, part binary").collect():  # as large as q
         image[at : at + SUM_ROWS] = np.frombuffer(part, np.float32).reshape(-1, width)
@@ -199,21 +276,23 @@ def _image(sample: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
     return image
 
 
-def latent_space(docs: DataFrame, benchmark: DataFrame, idf: np.ndarray) -> np.ndarray:
-    """(BUCKETS, RANK): right singular vectors of the passages.
+def latent_space(passages: DataFrame, n: int, benchmark: DataFrame, idf: np.ndarray) -> np.ndarray:
+    """(BUCKETS, RANK): right singular vectors of all passages, ``n`` of documents and the benchmark's.
 
     The documents count no more than the benchmark in sum, however many they
     are; else the directions would tell documents apart, and not what is looked for.
     """
-    items = staged(texts(benchmark, "item_id").select("text", F.lit(1.0).alias("length")), "lsa-items")
-    share = texts(docs).filter(F.pmod(F.xxhash64("doc_id"), F.lit(FIT_SHARE)) == 0)
-    share = staged(share.select("text"), "lsa-share")
-    length = min(1.0, items.count() / max(1, share.count())) ** 0.5
-    sample = items.union(share.withColumn("length", F.lit(length)))
-    sample = sample.repartition(max(1, min(256, sample.count() // FIT_ROWS)))
+
+    def bounded(df: DataFrame, rows: int) -> DataFrame:
+        return df.coalesce(max(1, min(FIT_TASKS, rows // FIT_ROWS)))
+
+    items = passage_buckets(texts(benchmark, "item_id"), "lsa-items")
+    n_items = passage_frequencies(items)[1]
+    items, passages = bounded(items, n_items), bounded(passages, n)
+    share = np.float32(min(1.0, n_items / max(1, n)))
     q = np.linalg.qr(np.random.default_rng(0).standard_normal((BUCKETS, RANK + OVERSAMPLE), np.float32))[0]
     for _ in range(PASSES):
-        image = _image(sample, idf, q)
+        image = _image(items, idf, q) + share * _image(passages, idf, q)
         small, before = q.T @ image, q
         q = np.linalg.qr(image)[0]
     values, turn = np.linalg.eigh((small + small.T) / 2)
@@ -251,6 +330,17 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(norm > 0, norm, 1)
 
 
+def _sums_of_strides(ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Sum of the weights of each row of buckets; ``BUCKETS`` stands for no word."""
+    sums = np.empty((len(ids), weights.shape[1]), np.float32)
+    for at in range(0, len(ids), STRIDE):
+        part = ids[at : at + STRIDE]
+        found = weights.take(part, axis=0, mode="clip")
+        found[part == BUCKETS] = 0
+        found.sum(axis=1, out=sums[at : at + STRIDE])
+    return sums
+
+
 def window_vectors(codes_of: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Latent vectors of the windows of texts, and the number of windows of each.
 
@@ -260,8 +350,12 @@ def window_vectors(codes_of: list[np.ndarray], weights: np.ndarray) -> tuple[np.
     steps = -(-size // STRIDE)
     first = np.cumsum(steps) - steps
     within = np.arange(steps.sum()) - np.repeat(first, steps)
-    starts = np.repeat(np.cumsum(size) - size, steps) + within * STRIDE
-    sums = np.add.reduceat(weights[in_buckets(np.concatenate(codes_of))], starts)
+    ids = np.concatenate(codes_of)
+    # where each word stands once every text ends with a whole stride
+    at = np.arange(len(ids)) + np.repeat(first * STRIDE - (np.cumsum(size) - size), size)
+    padded = np.full(steps.sum() * STRIDE, BUCKETS)
+    padded[at] = in_buckets(ids)
+    sums = _sums_of_strides(padded.reshape(-1, STRIDE), weights)
     is_last = within == np.repeat(steps, steps) - 1
     windows = sums.copy()
     windows[:-1] += np.where(is_last[:-1, None], np.float32(0), sums[1:])
@@ -307,21 +401,23 @@ def is_leak(passage: list, place: dict, words: list, different: set | None = Non
     return common >= COMMON or found, common, found
 
 
-def _seeded(code: np.ndarray, block: Block, n_windows: int) -> set[tuple[int, int]]:
-    """(window, passage) wherever a run of words stands in both.
+def _seeded(codes_of: list[np.ndarray], block: Block, windows: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(text, window, passage) wherever a run of words stands in a text and a passage.
 
     A window is looked at with what stands around it, so several have the run.
     """
-    own = seeds(code)
+    own = seeds(np.concatenate(codes_of))
+    ends = np.cumsum([len(code) for code in codes_of])
     places = np.flatnonzero(block.maybe[own & _LAST])
     low, high = (np.searchsorted(block.seeds, own[places], side) for side in ("left", "right"))
-    found = set()
-    for at, low, high in zip(places, low, high):
+    text = np.searchsorted(ends, places, "right")
+    met = np.flatnonzero((low < high) & (places + SEED_WORDS <= ends[text]))  # runs end where their text ends
+    within = places - (ends - [len(code) for code in codes_of])[text]
+    for i, at, low, high in zip(*(x[met].tolist() for x in (text, within, low, high))):
         first = max(0, -((WINDOW + STRIDE - SEED_WORDS - at) // STRIDE))
-        last = min(n_windows - 1, (at + STRIDE) // STRIDE)
+        last = min(int(windows[i]) - 1, (at + STRIDE) // STRIDE)
         for p in block.owner[low:high].tolist():
-            found.update((window, p) for window in range(int(first), int(last) + 1))
-    return found
+            yield from ((i, window, p) for window in range(first, last + 1))
 
 
 def _checked(text: str, code: np.ndarray, candidates: dict[tuple[int, int], float], block: Block) -> list[Leak]:
@@ -360,39 +456,26 @@ def _leaks_together(found: list[tuple[str, np.ndarray]], block: Block, weights:
         near = zip(own.tolist(), (at + rows - first[own]).tolist(), passage.tolist(), cosine[rows, passage].tolist())
         for text, window, p, value in near:
             candidates[text][window, p] = value
-    for i, code in enumerate(codes_of):
-        for window, p in _seeded(code, block, int(windows[i])):
-            if (window, p) not in candidates[i]:
-                candidates[i][window, p] = float(vectors[first[i] + window] @ block.vectors[:, p])
+    for i, window, p in _seeded(codes_of, block, windows):
+        if (window, p) not in candidates[i]:
+            candidates[i][window, p] = float(vectors[first[i] + window] @ block.vectors[:, p])
     return [_checked(*text, own, block) for text, own in zip(found, candidates)]
 
 
 def leaks_of(found: list[str], block: Block, weights: np.ndarray) -> list[list[Leak]]:
     """For each text the (item, cosine, common share, answer found) of items that leak into it.
 
-    ``weights`` has the latent place of every bucket. Texts are worked out some
-    together, a long one alone.
+    ``weights`` has the latent place of every bucket. Texts are worked out some together.
     """
-    out: list[list[Leak]] = [[] for _ in found]
-    held: list[tuple[int, np.ndarray]] = []
-    n = 0
-
-    def flush() -> None:
-        if held:
-            texts_held = [(found[i], code) for i, code in held]
-            for (i, _), leaks in zip(held, _leaks_together(texts_held, block, weights)):
-                out[i] = leaks
-            held.clear()
-
-    for i, text in enumerate(found):
-        code = codes(text)
-        if len(code) >= MIN_WORDS * COMMON_WITH_ANSWER:
-            held.append((i, code))
-            n += len(code)
-            if n >= TOGETHER:
-                flush()
-                n = 0
-    flush()
+    out: list[list[Leak]] = []
+    for held in together(found):
+        own = list(zip(held, codes_together(held)))
+        long = [i for i, (_, code) in enumerate(own) if len(code) >= MIN_WORDS * COMMON_WITH_ANSWER]
+        leaks: list[list[Leak]] = [[] for _ in held]
+        if long:
+            for i, of in zip(long, _leaks_together([own[i] for i in long], block, weights)):
+                leaks[i] = of
+        out += leaks
     return out
 
 
@@ -428,8 +511,9 @@ def _blocks(benchmark: DataFrame, weights: np.ndarray) -> Iterator[Block]:
 
 def _weights(docs: DataFrame, benchmark: DataFrame) -> np.ndarray:
     """(BUCKETS, RANK): the latent place of every bucket."""
-    idf = passage_frequencies(docs)
-    return (idf[:, None] * latent_space(docs, benchmark, idf)).astype(np.float32)
+    passages = passage_buckets(texts(docs), "lsa-passages")
+    idf, n = passage_frequencies(passages)
+    return (idf[:, None] * latent_space(passages, n, benchmark, idf)).astype(np.float32)
 
 
 def _by_block(docs: DataFrame, benchmark: DataFrame, search) -> Iterator[DataFrame]:

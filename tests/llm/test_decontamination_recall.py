@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -75,3 +76,28 @@ def test_hashes_are_those_of_the_words(parts):
     code = decontam.codes(text).tolist()
     assert len(code) == len(words) and len(set(code)) == len(set(words))
     assert dict(zip(words, code)) == {w: int(decontam.codes(w)[0]) for w in words}
+
+
+def test_latent_space_knows_all_documents(spark, monkeypatch):
+    """Directions hold what those of an exact decomposition of all passages hold."""
+    monkeypatch.setattr(decontam, "RANK", 20)
+    draw = random.Random(23)
+    vocabulary = [f"w{i}" for i in range(20_000)]
+    topics = [[f"topic{t}x{i}" for i in range(12)] for t in range(20)]
+    docs = [" ".join([*topics[i % 20], *draw.choices(vocabulary, k=8)]) for i in range(600)]
+    items = [" ".join(draw.choices(vocabulary, k=20)) for _ in range(400)]
+    rows = spark.createDataFrame([*enumerate(docs)], "doc_id bigint, text string").repartition(5)
+    bench = spark.createDataFrame([*enumerate(items)], "item_id bigint, text string")
+    weights = decontam._weights(rows, bench)
+
+    def counts(found):
+        return np.array([np.bincount(decontam.buckets(t), minlength=decontam.BUCKETS) for t in found])
+
+    met = (counts(docs) > 0).sum(axis=0)
+    idf = np.log((len(docs) + decontam.EXTRA_PASSAGES) / (met + 1))
+    idf[idf < decontam.STOP_IDF] = 0
+    units = [decontam._unit(counts(found) * idf) for found in (items, docs)]
+    whole = np.concatenate([units[0], units[1] * (len(items) / len(docs)) ** 0.5])
+    space = weights / np.where(idf > 0, idf, 1)[:, None]
+    exact = np.linalg.svd(whole, compute_uv=False)[:20]
+    assert ((whole @ space) ** 2).sum() >= 0.95 * (exact**2).sum()
