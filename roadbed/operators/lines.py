@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadbed.functions.geometry import make_line, planar_distance
-from roadbed.operators.ordering import OrderedGroups
+from roadbed.operators.ordering import MAX_GROUP_ROWS, OrderedGroups, largest_group
 from roadbed.session import stage
 
 #: segments of one line that share a bucket in place_on_lines
@@ -32,48 +32,64 @@ def place_on_lines(
     vertex, or of no length, gives its first vertex.
     """
     by = list(by)
-    follower = F.struct("m", "lon", "lat")
-    groups = OrderedGroups(
-        vertices.select(*by, "m", "lon", "lat").distinct(), by, ["m", "lon", "lat"], max_rows
-    ).frames({"next": lambda w: F.lead(follower).over(w)}, before=0, after=1)
+    follower, whole = F.struct("m", "lon", "lat"), Window.partitionBy(*by)
+    listed = vertices.select(*by, "m", "lon", "lat")
+    # repeats count as well, so this is a bound
+    largest = largest_group(listed, by)
+    if largest <= (max_rows or MAX_GROUP_ROWS):
+        # rows of a line in one place: once for the distinct vertices, the sums and the totals
+        different = listed.repartition(*by).distinct()
+    else:
+        different, largest = listed.distinct(), None
+    groups = OrderedGroups(different, by, ["m", "lon", "lat"], max_rows, largest).frames(
+        {"next": lambda w: F.lead(follower).over(w)}, before=0, after=1
+    )
     length = planar_distance(F.col("lon"), F.col("lat"), F.col("next.lon"), F.col("next.lat"))
-    segments = (
+    groups = (
         groups.map(lambda d: d.withColumn("seg_length", F.coalesce(length, F.lit(0.0))))
         .running_sum("run_end", F.col("seg_length"))
         .frames({"before": lambda w: F.lag("run_end").over(w)}, before=1, after=0)
-        .to_df()
-        .select(
-            *by,
-            "seg_length",
-            F.coalesce("before", F.lit(0.0)).alias("run_start"),
-            "run_end",
-            F.col("lon").alias("seg_lon"),
-            F.col("lat").alias("seg_lat"),
-            F.coalesce("next.lon", "lon").alias("end_lon"),
-            F.coalesce("next.lat", "lat").alias("end_lat"),
-            F.col("next").isNull().alias("is_last"),
-        )
     )
-    # summed up, and joined to targets and to the sums: written once
-    segments = stage(segments, "segments")
-    totals = segments.groupBy(*by).agg(
-        F.max("run_end").alias("total"), F.ceil(F.count("*") / _SEGMENTS_PER_BUCKET).alias("n_slots")
+    sums = {"total": F.max("run_end"), "n_rows": F.count("*")}
+    in_place = groups.large is None
+    segments = groups.to_df()
+    if in_place:
+        segments = segments.withColumns({n: c.over(whole) for n, c in sums.items()})
+    segments = segments.select(
+        *by,
+        "seg_length",
+        F.coalesce("before", F.lit(0.0)).alias("run_start"),
+        "run_end",
+        F.col("lon").alias("seg_lon"),
+        F.col("lat").alias("seg_lat"),
+        F.coalesce("next.lon", "lon").alias("end_lon"),
+        F.coalesce("next.lat", "lat").alias("end_lat"),
+        F.col("next").isNull().alias("is_last"),
+        *(sums if in_place else ()),
     )
+    # joined to targets, and to the sums or read for them: written once
+    segments = stage(segments, "segments")
+    if in_place:
+        # a line has one last vertex
+        totals = segments.filter("is_last").select(*by, *sums)
+        summed = segments
+    else:
+        totals = segments.groupBy(*by).agg(*[c.alias(n) for n, c in sums.items()])
+        summed = segments.join(totals, by)
 
     def slot(run: Column, slack: float) -> Column:
         share = F.when(F.col("total") > 0, run / F.col("total")).otherwise(0.0)
-        return F.floor(share * F.col("n_slots") + slack).cast("bigint")
+        n_slots = F.ceil(F.col("n_rows") / _SEGMENTS_PER_BUCKET)
+        return F.floor(share * n_slots + slack).cast("bigint")
 
     slots = F.sequence(slot(F.col("run_start"), -1e-6), slot(F.col("run_end"), 1e-6))
-    slotted = (
-        segments.join(totals, by).withColumn("slot", F.explode(slots)).drop("total", "n_slots")
-    )
+    slotted = summed.withColumn("slot", F.explode(slots)).drop(*sums)
     aimed = (
         targets.filter(F.col(fraction).between(0, 1))
         .join(totals, by)
         .withColumn("aim", F.col(fraction) * F.col("total"))
         .withColumn("slot", slot(F.col("aim"), 0.0))
-        .drop("total", "n_slots")
+        .drop(*sums)
     )
     aim = F.col("aim")
     inside = (aim >= F.col("run_start")) & (F.col("is_last") | (aim < F.col("run_end")))

@@ -325,3 +325,14 @@ def test_copy_manifest_reads_the_run_from_the_name(spark):
     rows = spark.createDataFrame([(n, f"a/{n}") for n in names], "filename string, directory string")
     sources = [r.src for r in images.image_copy_manifest(rows).orderBy("src").collect()]
     assert [s.split("\\")[2] for s in sources] == ["20220201_12", "20220201_2"]
+
+
+def test_rows_of_lines_are_brought_together_once(spark, monkeypatch):
+    """One exchange for the distinct vertices, the sums along a line and its totals."""
+    staged = []
+    monkeypatch.setattr(lines, "stage", lambda df, name: staged.append(df) or df)
+    vertices = spark.createDataFrame([("g", *v) for v in VERTICES * 2], "g string, m double, lon double, lat double")
+    targets = spark.createDataFrame([("g", 0.5)], "g string, fraction double")
+    placed = lines.place_on_lines(targets, vertices, ["g"])
+    assert staged[0]._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    assert [(r.new_lon, r.new_lat) for r in placed.collect()] == [(2.0, 0.0)]
