@@ -158,8 +158,11 @@ def repair_gps(
     return move_points(points, gap_positions(points, gaps, cfg, max_rows))
 
 
-def move_points(points: DataFrame, positions: DataFrame) -> DataFrame:
-    """Give points the position found for them and flag them ``gps_imputed``."""
+def move_points(points: DataFrame, positions: DataFrame, grid: float | None = None) -> DataFrame:
+    """Give points the position found for them and flag them ``gps_imputed``.
+
+    If all positions lie on a ``grid``, only the points on it are joined to them.
+    """
     repaired = positions.select(
         *LINK,
         "chainage",
@@ -167,7 +170,12 @@ def move_points(points: DataFrame, positions: DataFrame) -> DataFrame:
         F.col("new_lat").alias("lat"),
         F.lit(True).alias("gps_imputed"),
     )
-    return update_from(points, repaired, [*LINK, "chainage"], ["lon", "lat", "gps_imputed"])
+    on, columns = [*LINK, "chainage"], ["lon", "lat", "gps_imputed"]
+    if grid is None:
+        return update_from(points, repaired, on, columns)
+    may_move = F.coalesce(on_grid(F.col("chainage"), grid), F.lit(False))
+    moved = update_from(points.filter(may_move), repaired, on, columns)
+    return moved.union(points.filter(~may_move))
 
 
 def unrepaired_points(
@@ -288,13 +296,15 @@ def snap_endpoints(
     cfg: Profile = Profile(),
     max_rows: int | None = None,
     track: DataFrame | None = None,
+    moved: DataFrame | None = None,
 ) -> DataFrame:
     """Move event starts and ends onto the measured track.
 
     Both are moved by one set of positions; ``compat`` looks for the ends again
     after the starts have moved. New positions are brought together per event,
     so that the points are joined once. ``track`` are the ``track_positions``,
-    if already at hand.
+    if already at hand. ``moved`` are the points with positions of their own changed,
+    which get the new ends in place of ``points``.
     """
     track = track_positions(laser, key, cfg) if track is None else track
     starts = snap_positions(event_endpoints(points), laser, track, cfg, max_rows)
@@ -302,4 +312,5 @@ def snap_endpoints(
     if cfg.compat:
         started = _move_ends(points, _moved_events(points, starts, starts), ["str"])
         ends = snap_positions(event_endpoints(started), laser, track, cfg, max_rows)
-    return _move_ends(points, _moved_events(points, starts, ends), ["str", "end"])
+    events = _moved_events(points, starts, ends)
+    return _move_ends(points if moved is None else moved, events, ["str", "end"])

@@ -40,7 +40,9 @@ def smooth_condition(
     if denominator not in ("fixed", "count"):
         raise ValueError(f"unknown denominator: {denominator}")
     two_digits = {c: F.col(c).cast("decimal(8,2)") for c in _SMOOTHED}
-    sums = {f"__s_{c}": moving_sum(value, half) for c, value in two_digits.items()}
+    # whole hundredths are summed faster than decimals
+    summed = {c: to_cents(v) for c, v in two_digits.items()} if denominator == "fixed" else two_digits
+    sums = {f"__s_{c}": moving_sum(value, half) for c, value in summed.items()}
     size = 2 * half + 1
     if denominator == "count":
         for c, value in two_digits.items():
@@ -50,13 +52,13 @@ def smooth_condition(
 
     def mean(c: str) -> Column:
         if denominator == "fixed":
-            return from_cents(divide_half_up(to_cents(F.col(f"__s_{c}")), size))
+            return from_cents(divide_half_up(F.col(f"__s_{c}"), size))
         return (F.col(f"__s_{c}") / F.col(f"__n_{c}")).cast("decimal(8,2)")
 
     def path_mean(left: str, right: str) -> Column:
         if denominator == "fixed":
             # one exact division: halves of a cent must not be rounded twice
-            total = to_cents(F.col(f"__s_{left}") + F.col(f"__s_{right}"))
+            total = F.col(f"__s_{left}") + F.col(f"__s_{right}")
             return from_cents(divide_half_up(total, 2 * size))
         halves = [F.col(f"__s_{c}") / F.col(f"__n_{c}") for c in (left, right)]
         return ((halves[0] + halves[1]) / 2).cast("decimal(8,2)")

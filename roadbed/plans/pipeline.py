@@ -95,8 +95,9 @@ def condition_points(
     gaps = gps.gps_gaps(assembled, cfg, max_rows=max_rows).observe(counts[1], F.count("*").alias("gap_points"))
     gaps = stage(gaps, "gaps")
     track = gps.track_positions(laser, inputs.key, cfg)
-    points = gps.snap_endpoints(assembled, laser, inputs.key, cfg, max_rows, track)
-    points = gps.move_points(points, gps.gap_positions(assembled, gaps, cfg, max_rows))
+    # gap points are grid points: the others are not shuffled for their positions
+    moved = gps.move_points(assembled, gps.gap_positions(assembled, gaps, cfg, max_rows), cfg.grid)
+    points = gps.snap_endpoints(assembled, laser, inputs.key, cfg, max_rows, track, moved)
     if inputs.corrections is not None:
         points = assembly.apply_corrections(points, inputs.corrections)
     longest = largest_group(assembled, ["file_name"])

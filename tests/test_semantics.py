@@ -336,3 +336,22 @@ def test_rows_of_lines_are_brought_together_once(spark, monkeypatch):
     placed = lines.place_on_lines(targets, vertices, ["g"])
     assert staged[0]._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
     assert [(r.new_lon, r.new_lat) for r in placed.collect()] == [(2.0, 0.0)]
+
+
+def test_only_grid_points_are_joined_to_positions(spark):
+    rows = [("a", c, 0.0, 0.0) for c in (0.0, 5.0, 25.0, 25.0, -0.0, -25.0, None, float("nan"))]
+    points = spark.createDataFrame(rows, "link_id string, chainage double, lon double, lat double").withColumns(
+        {"file_name": F.lit("r"), "date": F.lit("d"), "gps_imputed": F.lit(False)}
+    )
+    gaps = [("r", "d", "a", c, c + 1, 2.0) for c in (0.0, 25.0, -25.0)]
+    names = "file_name string, date string, link_id string, chainage double, new_lon double, new_lat double"
+    positions = spark.createDataFrame(gaps, names)
+    moved = gps.move_points(points, positions, 25.0)
+    plan = moved._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and "Join" not in plan.split("\n+- ")[-1]
+
+    def shown(df):
+        return sorted(map(str, df.collect()))
+
+    assert shown(moved) == shown(gps.move_points(points, positions))
+    assert moved.filter("gps_imputed").count() == 5
