@@ -15,14 +15,13 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
 
 import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from roadbed.llm.common import slices, texts
+from roadbed.llm.common import kept, slices, texts
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -172,11 +171,6 @@ class TreeEncoder:
         return tuple([self.ranks[part] for part in parts])
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> TreeEncoder:
-    return TreeEncoder(load_ranks(path))
-
-
 _SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -191,9 +185,9 @@ def encode_documents(docs: DataFrame, path: str | None = None, with_ids: bool =
     path = path or public_tokenizers.path(RANKS)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoder(path)
+        coder = kept(path, lambda: TreeEncoder(load_ranks(path)))
         digits = coder.digits
-        for batch in slices(batches, 128):
+        for batch in slices(batches, 128, path):
             rows = []
             for text in batch["text"].to_pylist():
                 ids = coder.encode(text)

@@ -6,12 +6,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from roadbed.llm import bpe, language_crf, licenses, lz_fingerprint, toxicity
+from roadbed.llm.common import slices
 
 from .conftest import AWKWARD
 
@@ -25,6 +27,21 @@ def sha(data):
     return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
 
 
+def test_a_worker_drops_the_encoder_when_it_serves_another_operator(spark):
+    docs = spark.range(64).repartition(16).selectExpr("id AS doc_id", "concat('some words ', id) AS text")
+
+    def encoders(batches):
+        import gc
+
+        for batch in slices(batches):
+            found = sum(type(x).__name__ == "TreeEncoder" for x in gc.get_objects())
+            yield pa.record_batch([pa.array([found])], ["n"])
+
+    for _ in range(2):  # workers are used again in turn
+        assert bpe.encode_documents(docs).filter("n_tokens > 0").count() == 64
+        assert docs.mapInArrow(encoders, "n bigint").filter("n > 0").count() == 0
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.one_of(st.text(max_size=60), st.text("ab=é", max_size=400), st.text("etaoinshr", max_size=200)))
 def test_bpe_is_the_plain_encoding(text):
