@@ -1,9 +1,11 @@
 """Collocations from count streams in prefix and suffix order.
 
 Every word of a piece opens a window of up to three words. Windows are counted
-within tasks, dealt into ranges and sorted, so one stream in prefix order has the
+within tasks, dealt into ranges and sorted by one number, whose first bits are a hash
+of the first word and whose next ones of the second and third. So one stream has the
 counts of words, pairs and triples at once: each is the sum of a run of
-neighbouring rows. Runs that touch the border of a range are summed once more.
+neighbouring rows. Runs that touch the border of a range, or a run whose hash is
+the same, are summed once more.
 The counted phrases are then merge-joined: in prefix order for the counts of
 first parts, in suffix order for those of last parts, and in both for the most
 frequent extension. No stage holds a table of phrases in memory.
@@ -34,6 +36,8 @@ NO_LANGUAGE = "und"
 
 #: words a task counts in one go (some 200 MB), bytes of text cut at a time, rows sent at a time
 CHUNK, PART, ROWS = 1 << 21, 1 << 22, 1 << 16
+#: bits of the hashes of a window's words, 64 in sum
+BITS = (25, 22, 17)
 #: groups a language is ranked in before the best of them meet
 SPREAD = 64
 
@@ -114,43 +118,66 @@ class _Runs:
     """Sums of runs of rows that share their first ``size`` columns.
 
     A run goes on over batches. Runs at either end of the stream may go on in
-    another task, so they are told whatever their sum; others from ``least`` on.
+    another task, and runs next to one of the same hash further on, so they are told
+    whatever their sum; others from ``least`` on.
     """
 
     def __init__(self, size: int, least: int):
         self.size, self.least = size, least
-        self.open: tuple[list[bytes], int] | None = None
+        # words, sum, and whether the run before has the same hash
+        self.open: tuple[list[bytes], int, bool] | None = None
         self.inner = False  # whether a run has ended before
 
-    def take(self, words: list[pa.Array], new: np.ndarray, n: np.ndarray) -> list[tuple[list[pa.Array], np.ndarray]]:
-        """Ended runs of a batch; ``new`` marks rows that differ from the row before."""
+    def take(
+        self, words: list[pa.Array], new: np.ndarray, met: np.ndarray, n: np.ndarray
+    ) -> list[tuple[list[pa.Array], np.ndarray]]:
+        """Ended runs of a batch.
+
+        ``new`` marks rows that differ from the row before, ``met`` those of them that
+        have its hash.
+        """
         starts = np.flatnonzero(new)
         sums = np.add.reduceat(n, starts) if len(starts) else np.array([], np.int64)
         out = []
         before = int(n[: starts[0]].sum()) if len(starts) else int(n.sum())
         if self.open is not None:
-            self.open = self.open[0], self.open[1] + before
+            self.open = self.open[0], self.open[1] + before, self.open[2]
         if len(starts):
-            out += self.close(False)
-            ended = np.flatnonzero(sums[:-1] >= self.least)
-            if self.open is None and len(starts) > 1 and not self.inner:
-                ended = np.union1d(ended, [0])  # the first run of all
+            met = met[starts]
+            out += self.close(met[0])
+            told = (sums[:-1] >= self.least) | met[:-1] | met[1:]
+            if self.open is None and not self.inner:
+                told[:1] = True  # the first run of all
+            ended = np.flatnonzero(told)
             self.inner |= len(starts) > 1 or self.open is not None
             rows = pa.array(starts[ended])
             out.append(([w.take(rows) for w in words], sums[ended]))
-            self.open = [w[int(starts[-1])].as_py() for w in words], int(sums[-1])
+            self.open = [w[int(starts[-1])].as_py() for w in words], int(sums[-1]), bool(met[-1])
         return out
 
-    def close(self, last: bool) -> list[tuple[list[pa.Array], np.ndarray]]:
+    def close(self, told: bool) -> list[tuple[list[pa.Array], np.ndarray]]:
         """The run that was open, if it is to be told."""
-        if self.open is None or not (last or not self.inner or self.open[1] >= self.least):
+        if self.open is None:
+            return []
+        words, total, met = self.open
+        if not (told or met or not self.inner or total >= self.least):
             return []
-        words, total = self.open
         return [([pa.array([w], pa.binary()) for w in words], np.array([total]))]
 
 
-def _sum_runs(least: int):
-    """Counts of words, pairs and triples of a stream of windows in prefix order."""
+def _hash_order(bits: tuple[int, int, int]) -> Column:
+    """Number that windows are sorted by; never NULL, so Spark sorts it without comparing."""
+    parts = [F.shiftrightunsigned(F.xxhash64(c), 64 - b) for c, b in zip(("head", "w2", "w3"), bits)]
+    first, second = F.shiftleft(parts[0], bits[1] + bits[2]), F.shiftleft(parts[1], bits[2])
+    return first.bitwiseOR(second).bitwiseOR(parts[2])
+
+
+def _sum_runs(least: int, bits: tuple[int, int, int] = BITS):
+    """Counts of words, pairs and triples of a stream of windows.
+
+    They come in order of their hashes, told as ``place``, or without it in prefix order.
+    """
+    dropped = bits[1] + bits[2], bits[2], 0  # bits that are no part of the hash of a word, pair, triple
 
     def told(size: int, runs) -> Iterator[pa.RecordBatch]:
         for words, n in runs:
@@ -164,35 +191,44 @@ def _sum_runs(least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = [_Runs(size, least) for size in (1, 2, 3)]
-        last: list[bytes] | None = None
+        last: tuple[list[bytes], int] | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             words, n = [batch[c].view(pa.binary()) for c in ("head", "w2", "w3")], batch["n"].to_numpy()
-            new = np.zeros(batch.num_rows, bool)
-            for i, (level, word) in enumerate(zip(levels, words)):
-                new[0] |= last is None or word[0].as_py() != last[i]
+            hashed = "place" in batch.schema.names
+            place = batch["place"].to_numpy() if hashed else np.zeros(batch.num_rows, np.int64)
+            new, met = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, bool)
+            for i, (level, word, shift) in enumerate(zip(levels, words, dropped)):
+                new[0] |= last is None or word[0].as_py() != last[0][i]
                 new[1:] |= pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)
-                yield from told(level.size, level.take(words[: level.size], new, n))
-            last = [w[-1].as_py() for w in words]
+                own = place >> shift
+                if hashed:
+                    met[0] = new[0] and last is not None and own[0] == last[1] >> shift
+                    met[1:] = new[1:] & (own[1:] == own[:-1])
+                yield from told(level.size, level.take(words[: level.size], new, met, n))
+            last = [w[-1].as_py() for w in words], int(place[-1])
         for level in levels:
             yield from told(level.size, level.close(True))
 
     return run
 
 
-def phrase_counts(docs: DataFrame, least: int = MIN_COUNT) -> DataFrame:
+def phrase_counts(docs: DataFrame, least: int = MIN_COUNT, bits: tuple[int, int, int] = BITS) -> DataFrame:
     """(size, lang, w1, w2, w3, n): phrases of up to three words with ``least`` occurrences.
 
-    Rows of size 1 without a word have the number of all words of a language.
+    Rows of size 1 without a word have the number of all words of a language. ``bits``
+    tell how often hashes meet, which costs time and changes no count.
     """
     found = docs.select(
         F.coalesce("lang", F.lit(NO_LANGUAGE)).cast("binary").alias("lang"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
     key = ["head", "w2", "w3"]
-    ordered = found.mapInArrow(_windows, _WINDOWS).repartitionByRange(*key).sortWithinPartitions(*key)
-    runs = ordered.mapInArrow(_sum_runs(least), _COUNTED)
+    place = _hash_order(bits)
+    ordered = found.mapInArrow(_windows, _WINDOWS).repartitionByRange(place).sortWithinPartitions(place)
+    # worked out again rather than shuffled with the rows
+    runs = ordered.withColumn("place", place).mapInArrow(_sum_runs(least, bits), _COUNTED)
     counted = runs.groupBy("size", *key).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     head = F.col("head")
     first = F.substring_index(head, "\t", -1)

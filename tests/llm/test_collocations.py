@@ -53,6 +53,22 @@ def test_equals_plain_counting(spark, monkeypatch, chunk, rows):
     assert sorted(map(tuple, got)) == brute(DOCS * 2, 4, 2)
 
 
+@pytest.mark.parametrize("bits", [(1, 1, 1), (2, 1, 3), (25, 22, 17)])
+def test_words_of_equal_hash(spark, monkeypatch, bits):
+    """Windows are sorted by one number; words whose hashes meet are counted like others."""
+    monkeypatch.setattr(collocations, "CHUNK", 5)
+    docs = spark.createDataFrame([(*d, 1) for d in DOCS * 2], "lang string, text string, doc_id bigint")
+    got = collocations.phrase_counts(docs.repartition(3), 2, bits)
+    told = [(r.lang, tuple(filter(None, (r.w1, r.w2, r.w3))), r.n) for r in got.collect()]
+    want = collocations.phrase_counts(docs.coalesce(1), 2).collect()
+    assert sorted(told) == sorted((r.lang, tuple(filter(None, (r.w1, r.w2, r.w3))), r.n) for r in want)
+    best = collocations.scored_phrases(got).collect()
+    listed = [(lang, phrase, a, left, right, score) for lang, _, phrase, a, left, right, _, score in brute(DOCS * 2, 9999, 2)]
+    assert sorted(map(tuple, best)) == sorted(listed)
+    sort = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple").split("Sort [")[1]
+    assert sort.startswith("((shiftleft(") and "head#" not in sort.split("ASC")[1].split("]")[0]
+
+
 def test_runs_over_batches_and_ends():
     """A stream cut anywhere gives the sums of the whole; small inner runs go."""
     keys = ["a", "a", "b", "c", "c", "c", "d"]
