@@ -34,6 +34,8 @@ OVERSAMPLE, PASSES = 8, 3
 WINDOW, STRIDE = 64, 32
 #: words, and cosines, of texts that are worked out together, and letters a word has about
 TOGETHER, COSINES, LETTERS = 4096, 4_000_000, 6
+#: candidates whose words are compared together
+SHARED = 1 << 14
 #: passages whose buckets are looked up together
 GROUP = 8
 #: rows of the space that are summed together, passages a task sums at least, and the most such tasks
@@ -308,6 +310,8 @@ class Block:
     places: list[dict[str, int]]  # places of each word in its passage, as bits
     codes: list[list[int]]
     code_places: list[dict[int, int]]  # the same of hashes
+    buckets: np.ndarray  # (passages, WINDOW), ``BUCKETS`` behind the last word
+    least: np.ndarray  # words a text must share with the passage
     vectors: np.ndarray  # (RANK, passages), unit length
     seeds: np.ndarray  # sorted hashes of runs of words
     owner: np.ndarray  # the passage of each
@@ -341,27 +345,68 @@ def _sums_of_strides(ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return sums
 
 
-def window_vectors(codes_of: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Latent vectors of the windows of texts, and the number of windows of each.
-
-    A window starts at every ``STRIDE`` words and is two strides long.
-    """
+def _strides(codes_of: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the strides of texts, a row each, and the number of strides of each text."""
     size = np.array([len(c) for c in codes_of])
     steps = -(-size // STRIDE)
     first = np.cumsum(steps) - steps
-    within = np.arange(steps.sum()) - np.repeat(first, steps)
     ids = np.concatenate(codes_of)
     # where each word stands once every text ends with a whole stride
     at = np.arange(len(ids)) + np.repeat(first * STRIDE - (np.cumsum(size) - size), size)
     padded = np.full(steps.sum() * STRIDE, BUCKETS)
     padded[at] = in_buckets(ids)
-    sums = _sums_of_strides(padded.reshape(-1, STRIDE), weights)
+    return padded.reshape(-1, STRIDE), steps
+
+
+def _vectors_of_strides(ids: np.ndarray, steps: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    sums = _sums_of_strides(ids, weights)
+    within = np.arange(len(ids)) - np.repeat(np.cumsum(steps) - steps, steps)
     is_last = within == np.repeat(steps, steps) - 1
     windows = sums.copy()
     windows[:-1] += np.where(is_last[:-1, None], np.float32(0), sums[1:])
     return _unit(windows[~is_last | (within == 0)]), np.maximum(1, steps - 1)
 
 
+def window_vectors(codes_of: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Latent vectors of the windows of texts, and the number of windows of each.
+
+    A window starts at every ``STRIDE`` words and is two strides long.
+    """
+    return _vectors_of_strides(*_strides(codes_of), weights)
+
+
+def _may_leak(
+    ids: np.ndarray, steps: np.ndarray, text: np.ndarray, window: np.ndarray, passage: np.ndarray, block: Block
+) -> np.ndarray:
+    """Which candidates share enough words for ``is_leak``, as far as buckets tell.
+
+    Candidates (text, window, passage) come in order of their windows. Words that share
+    a bucket only add to what is shared, so no leak is lost.
+    """
+    may = np.zeros(len(window), bool)
+    if not len(window):
+        return may
+    first = np.cumsum(steps) - steps
+    new = np.append(True, (text[1:] != text[:-1]) | (window[1:] != window[:-1]))
+    starts, row = np.flatnonzero(new), np.cumsum(new) - 1
+    together = max(1, COSINES // BUCKETS)
+    for at in range(0, len(starts), together):
+        own = starts[at : at + together]
+        met = np.zeros((len(own), BUCKETS + 1), bool)
+        for step in range(-1, 3):  # a window is looked at with a stride on either side
+            stride = window[own] + step
+            rows = np.flatnonzero((stride >= 0) & (stride < steps[text[own]]))
+            met[rows[:, None], ids[first[text[own[rows]]] + stride[rows]]] = True
+        met[:, BUCKETS] = False
+        end = starts[at + together] if at + together < len(starts) else len(window)
+        # a bounded number of candidates at a time
+        for low in range(own[0], end, SHARED):
+            part = slice(low, min(end, low + SHARED))
+            shared = met[(row[part] - at)[:, None], block.buckets[passage[part]]]
+            may[part] = np.count_nonzero(shared, axis=1) >= block.least[passage[part]]
+    return may
+
+
 def longest_common(place: dict[str, int], n: int, words: list[str]) -> int:
     """Length of the longest common subsequence, bit-parallel over a passage.
 
@@ -444,7 +489,8 @@ def _checked(text: str, code: np.ndarray, candidates: dict[tuple[int, int], floa
 
 def _leaks_together(found: list[tuple[str, np.ndarray]], block: Block, weights: np.ndarray) -> list[list[Leak]]:
     codes_of = [code for _, code in found]
-    vectors, windows = window_vectors(codes_of, weights)
+    ids, steps = _strides(codes_of)
+    vectors, windows = _vectors_of_strides(ids, steps, weights)
     text_of = np.repeat(np.arange(len(found)), windows)
     first = np.cumsum(windows) - windows
     candidates: list[dict[tuple[int, int], float]] = [{} for _ in found]
@@ -453,9 +499,11 @@ def _leaks_together(found: list[tuple[str, np.ndarray]], block: Block, weights:
         cosine = vectors[at : at + step] @ block.vectors
         rows, passage = np.nonzero(cosine >= CANDIDATE_COSINE)
         own = text_of[at + rows]
-        near = zip(own.tolist(), (at + rows - first[own]).tolist(), passage.tolist(), cosine[rows, passage].tolist())
-        for text, window, p, value in near:
-            candidates[text][window, p] = value
+        window = at + rows - first[own]
+        may = np.flatnonzero(_may_leak(ids, steps, own, window, passage, block))
+        value = cosine[rows[may], passage[may]]
+        for text, *near in zip(*(x.tolist() for x in (own[may], window[may], passage[may], value))):
+            candidates[text][near[0], near[1]] = near[2]
     for i, window, p in _seeded(codes_of, block, windows):
         if (window, p) not in candidates[i]:
             candidates[i][window, p] = float(vectors[first[i] + window] @ block.vectors[:, p])
@@ -489,10 +537,15 @@ def _block(held: list[tuple[int, list[str]]], weights: np.ndarray) -> Block:
     items, maybe = np.array([i for i, _ in held]), np.zeros(int(_LAST) + 1, bool)
     maybe[hashes & _LAST] = True
     listed = [c.tolist() for c in code]
+    in_bucket = np.full((len(code), WINDOW), BUCKETS, np.uint16)
+    for own, c in zip(in_bucket, code):
+        own[: len(c)] = in_buckets(c[:WINDOW])
+    least = np.array([COMMON_WITH_ANSWER * len(c) for c in listed])
     places, code_places = [*map(_places, words)], [*map(_places, listed)]
     return Block(
-        items, words, places, listed, code_places, _unit(vectors).T.copy(), hashes[order], owner[order], maybe
-    )
+        items, words, places, listed, code_places, in_bucket, least,
+        _unit(vectors).T.copy(), hashes[order], owner[order], maybe,
+    )
 
 
 def _blocks(benchmark: DataFrame, weights: np.ndarray) -> Iterator[Block]:

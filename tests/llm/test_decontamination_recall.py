@@ -101,3 +101,25 @@ def test_latent_space_knows_all_documents(spark, monkeypatch):
     space = weights / np.where(idf > 0, idf, 1)[:, None]
     exact = np.linalg.svd(whole, compute_uv=False)[:20]
     assert ((whole @ space) ** 2).sum() >= 0.95 * (exact**2).sum()
+
+
+def test_only_candidates_that_share_words_are_compared(monkeypatch):
+    """Near vectors alone are no reason to compare words; no leak is lost."""
+    rng = np.random.default_rng(3)
+    word = [f"w{i}" for i in range(900)]
+    draw = lambda low, high, n: " ".join(word[i] for i in rng.integers(low, high, n))
+    items = [(i, draw(0, 300, int(n))) for i, n in enumerate(rng.integers(8, 150, 12))]
+    # all vectors are alike, so every window is near every passage
+    block = decontam._block(decontam.passages(items), np.ones((decontam.BUCKETS, 4), np.float32))
+    weights = np.ones((decontam.BUCKETS, 4), np.float32)
+    strange = [draw(300, 900, n) for n in (5, 60, 700)]
+    mixed = [" ".join([draw(300, 900, 90), text, draw(0, 900, n)]) for (_, text), n in zip(items, range(0, 240, 20))]
+    compared = []
+    is_leak = decontam.is_leak
+    monkeypatch.setattr(decontam, "is_leak", lambda *a: compared.append(1) or is_leak(*a))
+    monkeypatch.setattr(decontam, "SHARED", 7)
+    assert decontam.leaks_of(strange, block, weights) == [[], [], []] and not compared
+    found = decontam.leaks_of(strange + mixed, block, weights)
+    monkeypatch.setattr(decontam, "_may_leak", lambda ids, steps, text, window, *_: np.ones(len(window), bool))
+    assert found == decontam.leaks_of(strange + mixed, block, weights)
+    assert all(i in [leak[0] for leak in own] for i, own in enumerate(found[3:]))
