@@ -36,6 +36,8 @@ WINDOW, STRIDE = 64, 32
 TOGETHER, COSINES, LETTERS = 4096, 4_000_000, 6
 #: candidates whose words are compared together
 SHARED = 1 << 14
+#: places for each seed of a block in the table that tells most other seeds apart, and the most places
+SEED_ROOM, MAX_SEED_TABLE = 64, 1 << 22
 #: passages whose buckets are looked up together
 GROUP = 8
 #: rows of the space that are summed together, passages a task sums at least, and the most such tasks
@@ -57,7 +59,7 @@ MAX_BROADCAST_TEXTS = 200_000
 #: shorter benchmark passages prove nothing
 MIN_WORDS = 8
 
-_ODD, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64((1 << 22) - 1)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _POWERS = np.array([], np.uint64), np.array([], np.uint64)
 Leak = tuple[int, float, float, bool]
@@ -71,7 +73,10 @@ def words_of(text: str) -> list[str]:
 @lru_cache(maxsize=1)
 def _word_letters() -> np.ndarray:
     """Whether a code point is part of a word, as ``\\w`` has it."""
-    return np.array([chr(c).isalnum() or c == 95 for c in range(sys.maxunicode + 1)])
+    n = sys.maxunicode + 1
+    letters = np.fromiter(map(str.isalnum, map(chr, range(n))), bool, n)
+    letters[ord("_")] = True
+    return letters
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,9 +109,9 @@ def _hashes(lowered: str) -> tuple[np.ndarray, np.ndarray]:
     over the letters before its end and its start.
     """
     letters = np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), np.uint32)
-    inside = np.zeros(len(letters) + 2, np.int8)
+    inside = np.zeros(len(letters) + 2, bool)
     inside[1:-1] = _word_letters()[letters]
-    border = np.flatnonzero(np.diff(inside))
+    border = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = border[::2], border[1::2]
     power, inverse = _powers(len(letters) + 1)
     sums = np.zeros(len(letters) + 1, np.uint64)
@@ -149,6 +154,10 @@ def seeds(code: np.ndarray) -> np.ndarray:
     return mixed
 
 
+#: columns of a group of passages, and what they hold
+_GROUPED = {"own": np.uint16, "passage": np.uint8, "tf": np.uint8}
+
+
 def passage_buckets(rows: DataFrame, name: str) -> DataFrame:
     """(own, passage, tf) of every ``GROUP`` passages that follow each other, written once.
 
@@ -156,7 +165,7 @@ def passage_buckets(rows: DataFrame, name: str) -> DataFrame:
     of the passage in the group and ``tf`` how often the bucket is met there.
     """
 
-    def grouped(ids: list[np.ndarray]) -> Iterator[tuple[bytes, bytes, bytes]]:
+    def grouped(ids: list[np.ndarray]) -> list[pa.Array]:
         words = np.array([len(i) for i in ids])
         n = -(-words // WINDOW)
         first = np.repeat(np.cumsum(n) - n, words)
@@ -169,24 +178,37 @@ def passage_buckets(rows: DataFrame, name: str) -> DataFrame:
         keys = keys[starts]
         own = (keys // GROUP & (BUCKETS - 1)).astype(np.uint16)
         numbers = (keys % GROUP).astype(np.uint8)
-        ends = np.cumsum(np.bincount(keys // (GROUP * BUCKETS))).tolist()
-        for at, end in zip([0, *ends], ends):
-            yield own[at:end].tobytes(), numbers[at:end].tobytes(), tf[at:end].tobytes()
+        ends = np.cumsum(np.bincount(keys // (GROUP * BUCKETS)))
+        return [_cut(values, ends) for values in (own, numbers, tf)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = []
             for held in together(batch["text"].to_pylist()):
                 if ids := [in_buckets(code) for code in codes_together(held) if len(code)]:
-                    found += grouped(ids)
-            columns = zip(*found) if found else ([], [], [])
-            yield pa.record_batch([pa.array(c, pa.binary()) for c in columns], ["own", "passage", "tf"])
+                    found.append(grouped(ids))
+            if found:
+                yield pa.record_batch([*map(pa.concat_arrays, zip(*found))], ["own", "passage", "tf"])
 
     return staged(rows.select("text").mapInArrow(count, "own binary, passage binary, tf binary"), name)
 
 
-def _joined(column: pa.Array, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
+def _cut(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` as a binary column, a row up to each end."""
+    offsets = np.append(0, ends * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _joined(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows of a binary column, one after the other, and how many each row has."""
+    if not len(column):
+        return np.array([], kind), np.array([], np.int64)
+    column = column.cast(pa.binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    size = np.dtype(kind).itemsize
+    values = np.frombuffer(data, kind, (offsets[-1] - offsets[0]) // size, offsets[0])
+    return values, np.diff(offsets) // size
 
 
 def passage_frequencies(passages: DataFrame) -> tuple[np.ndarray, int]:
@@ -199,8 +221,10 @@ def passage_frequencies(passages: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(BUCKETS, np.int64), 0
         for batch in slices(batches):
-            df += np.bincount(_joined(batch["own"], np.uint16), minlength=BUCKETS)
-            n += sum(max(numbers) + 1 for numbers in batch["passage"].to_pylist())
+            df += np.bincount(_joined(batch["own"], np.uint16)[0], minlength=BUCKETS)
+            numbers, size = _joined(batch["passage"], np.uint8)
+            if len(numbers):
+                n += int((np.maximum.reduceat(numbers, np.cumsum(size) - size).astype(np.int64) + 1).sum())
         found = np.flatnonzero(df)
         columns = [pa.array(np.append(found, BUCKETS)), pa.array(np.append(df[found], n))]
         yield pa.record_batch(columns, ["bucket", "n"])
@@ -214,10 +238,10 @@ def passage_frequencies(passages: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _vectors(batch: pa.RecordBatch, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(buckets, passages x buckets) of groups of passages of unit length; what weighs nothing is left out."""
-    own, number = _joined(batch["own"], np.uint16).astype(np.int64), _joined(batch["passage"], np.uint8)
-    group = np.repeat(np.arange(batch.num_rows), [len(o) // 2 for o in batch["own"].to_pylist()])
-    weight = _joined(batch["tf"], np.uint8) * idf[own]
+    """(buckets, buckets x passages) of groups of passages of unit length; what weighs nothing is left out."""
+    (own, size), (number, _), (tf, _) = (_joined(batch[c], k) for c, k in _GROUPED.items())
+    own, group = own.astype(np.int64), np.repeat(np.arange(batch.num_rows), size)
+    weight = tf * idf[own]
     kept = np.flatnonzero(weight)
     own, group, weight = own[kept], group[kept], weight[kept]
     passage = group * GROUP + number[kept]
@@ -227,13 +251,13 @@ def _vectors(batch: pa.RecordBatch, idf: np.ndarray) -> Iterator[tuple[np.ndarra
     starts = np.flatnonzero(new)
     live, n_live = own[starts], np.bincount(group[starts], minlength=batch.num_rows)
     firsts = np.cumsum(n_live) - n_live
-    place = (passage % GROUP) * n_live[group] + np.cumsum(new) - 1 - firsts[group]
+    place = (np.cumsum(new) - 1 - firsts[group]) * GROUP + passage % GROUP
     ends = np.cumsum(np.bincount(group, minlength=batch.num_rows)).tolist()
     for at, end, first, n in zip([0, *ends], ends, firsts.tolist(), n_live.tolist()):
         if n:
-            dense = np.zeros(GROUP * n, np.float32)
+            dense = np.zeros(n * GROUP, np.float32)
             dense[place[at:end]] = weight[at:end]
-            yield live[first : first + n], dense.reshape(GROUP, n)
+            yield live[first : first + n], dense.reshape(n, GROUP)
 
 
 def _image(passages: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -252,7 +276,7 @@ def _image(passages: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
             for own, weight in _vectors(batch, idf):
                 # buckets are in range; without checks rows are copied faster
                 found = total.take(own, axis=0, mode="clip")
-                found += weight.T @ (weight @ q.take(own, axis=0, mode="clip"))
+                found += weight @ (weight.T @ q.take(own, axis=0, mode="clip"))
                 total[own] = found
                 touched[own] = True
         for at in range(0, len(q), SUM_ROWS):
@@ -310,12 +334,14 @@ class Block:
     places: list[dict[str, int]]  # places of each word in its passage, as bits
     codes: list[list[int]]
     code_places: list[dict[int, int]]  # the same of hashes
-    buckets: np.ndarray  # (passages, WINDOW), ``BUCKETS`` behind the last word
+    columns: np.ndarray  # the column of each bucket that a passage has, 0 for others and for no word
+    n_columns: int
+    own_columns: np.ndarray  # (passages, WINDOW), 0 behind the last word
     least: np.ndarray  # words a text must share with the passage
     vectors: np.ndarray  # (RANK, passages), unit length
     seeds: np.ndarray  # sorted hashes of runs of words
     owner: np.ndarray  # the passage of each
-    maybe: np.ndarray  # whether any seed has these last bits
+    maybe: np.ndarray  # whether any seed has these last bits; as long as a power of two
 
 
 def passages(items: list[tuple[int, str]]) -> list[tuple[int, list[str]]]:
@@ -336,13 +362,14 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def _sums_of_strides(ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Sum of the weights of each row of buckets; ``BUCKETS`` stands for no word."""
-    sums = np.empty((len(ids), weights.shape[1]), np.float32)
+    sums = np.empty((len(ids), 1, weights.shape[1]), np.float32)
+    ones = np.ones((1, ids.shape[1]), np.float32)  # a product adds up faster than a sum
     for at in range(0, len(ids), STRIDE):
         part = ids[at : at + STRIDE]
         found = weights.take(part, axis=0, mode="clip")
         found[part == BUCKETS] = 0
-        found.sum(axis=1, out=sums[at : at + STRIDE])
-    return sums
+        np.matmul(ones, found, out=sums[at : at + STRIDE])
+    return sums[:, 0]
 
 
 def _strides(codes_of: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -389,21 +416,27 @@ def _may_leak(
     first = np.cumsum(steps) - steps
     new = np.append(True, (text[1:] != text[:-1]) | (window[1:] != window[:-1]))
     starts, row = np.flatnonzero(new), np.cumsum(new) - 1
-    together = max(1, COSINES // BUCKETS)
+    width = block.n_columns
+    together = max(1, COSINES // max(width, WINDOW + 2 * STRIDE))
     for at in range(0, len(starts), together):
         own = starts[at : at + together]
-        met = np.zeros((len(own), BUCKETS + 1), bool)
-        for step in range(-1, 3):  # a window is looked at with a stride on either side
-            stride = window[own] + step
-            rows = np.flatnonzero((stride >= 0) & (stride < steps[text[own]]))
-            met[rows[:, None], ids[first[text[own[rows]]] + stride[rows]]] = True
-        met[:, BUCKETS] = False
+        # a window is looked at with a stride on either side
+        stride, of = window[own][:, None] + np.arange(-1, 3), text[own][:, None]
+        inside = (stride >= 0) & (stride < steps[of])
+        columns = block.columns[ids[np.where(inside, first[of] + stride, 0)]]
+        columns[~inside] = 0
+        met = np.zeros(len(own) * width, bool)
+        lines = np.arange(len(own)) * width
+        met[columns + lines[:, None, None]] = True
+        met[lines] = False
         end = starts[at + together] if at + together < len(starts) else len(window)
         # a bounded number of candidates at a time
         for low in range(own[0], end, SHARED):
             part = slice(low, min(end, low + SHARED))
-            shared = met[(row[part] - at)[:, None], block.buckets[passage[part]]]
-            may[part] = np.count_nonzero(shared, axis=1) >= block.least[passage[part]]
+            places = block.own_columns[passage[part]] + lines[row[part] - at, None]
+            # a passage has ``WINDOW`` words at most
+            shared = met.take(places, mode="clip").view(np.uint8).sum(axis=1, dtype=np.uint8)
+            may[part] = shared >= block.least[passage[part]]
     return may
 
 
@@ -414,10 +447,9 @@ def longest_common(place: dict[str, int], n: int, words: list[str]) -> int:
     """
     full = (1 << n) - 1
     open_ = full
-    for word in words:
-        if match := place.get(word):
-            hit = open_ & match
-            open_ = (open_ + hit | open_ - hit) & full
+    for match in filter(None, map(place.get, words)):
+        hit = open_ & match
+        open_ = (open_ + hit | open_ - hit) & full
     return n - open_.bit_count()
 
 
@@ -446,23 +478,26 @@ def is_leak(passage: list, place: dict, words: list, different: set | None = Non
     return common >= COMMON or found, common, found
 
 
-def _seeded(codes_of: list[np.ndarray], block: Block, windows: np.ndarray) -> Iterator[tuple[int, int, int]]:
+def _seeded(codes_of: list[np.ndarray], block: Block, windows: np.ndarray) -> set[tuple[int, int, int]]:
     """(text, window, passage) wherever a run of words stands in a text and a passage.
 
     A window is looked at with what stands around it, so several have the run.
     """
     own = seeds(np.concatenate(codes_of))
-    ends = np.cumsum([len(code) for code in codes_of])
-    places = np.flatnonzero(block.maybe[own & _LAST])
+    size = np.array([len(code) for code in codes_of])
+    ends = np.cumsum(size)
+    places = np.flatnonzero(block.maybe[own & np.uint64(len(block.maybe) - 1)])
     low, high = (np.searchsorted(block.seeds, own[places], side) for side in ("left", "right"))
     text = np.searchsorted(ends, places, "right")
     met = np.flatnonzero((low < high) & (places + SEED_WORDS <= ends[text]))  # runs end where their text ends
-    within = places - (ends - [len(code) for code in codes_of])[text]
-    for i, at, low, high in zip(*(x[met].tolist() for x in (text, within, low, high))):
-        first = max(0, -((WINDOW + STRIDE - SEED_WORDS - at) // STRIDE))
-        last = min(int(windows[i]) - 1, (at + STRIDE) // STRIDE)
-        for p in block.owner[low:high].tolist():
-            yield from ((i, window, p) for window in range(first, last + 1))
+    text, low, n = text[met], low[met], (high - low)[met]
+    within = places[met] - (ends - size)[text]
+    first = np.maximum(0, -((WINDOW + STRIDE - SEED_WORDS - within) // STRIDE))
+    last = np.minimum(windows[text] - 1, (within + STRIDE) // STRIDE)
+    found = set()  # the runs of a copied passage meet in the same windows
+    for i, first, last, low, n in zip(*(x.tolist() for x in (text, first, last, low, n))):
+        found.update((i, window, p) for p in block.owner[low : low + n].tolist() for window in range(first, last + 1))
+    return found
 
 
 def _checked(text: str, code: np.ndarray, candidates: dict[tuple[int, int], float], block: Block) -> list[Leak]:
@@ -497,7 +532,7 @@ def _leaks_together(found: list[tuple[str, np.ndarray]], block: Block, weights:
     step = max(1, COSINES // len(block.item))
     for at in range(0, len(vectors), step):
         cosine = vectors[at : at + step] @ block.vectors
-        rows, passage = np.nonzero(cosine >= CANDIDATE_COSINE)
+        rows, passage = np.divmod(np.flatnonzero(cosine.ravel() >= CANDIDATE_COSINE), len(block.item))
         own = text_of[at + rows]
         window = at + rows - first[own]
         may = np.flatnonzero(_may_leak(ids, steps, own, window, passage, block))
@@ -507,7 +542,7 @@ def _leaks_together(found: list[tuple[str, np.ndarray]], block: Block, weights:
     for i, window, p in _seeded(codes_of, block, windows):
         if (window, p) not in candidates[i]:
             candidates[i][window, p] = float(vectors[first[i] + window] @ block.vectors[:, p])
-    return [_checked(*text, own, block) for text, own in zip(found, candidates)]
+    return [_checked(*text, own, block) if own else [] for text, own in zip(found, candidates)]
 
 
 def leaks_of(found: list[str], block: Block, weights: np.ndarray) -> list[list[Leak]]:
@@ -534,16 +569,19 @@ def _block(held: list[tuple[int, list[str]]], weights: np.ndarray) -> Block:
     runs = [seeds(c) for c in code]
     owner, hashes = np.repeat(np.arange(len(runs)), [len(r) for r in runs]), np.concatenate(runs)
     order = np.argsort(hashes, kind="stable")
-    items, maybe = np.array([i for i, _ in held]), np.zeros(int(_LAST) + 1, bool)
-    maybe[hashes & _LAST] = True
-    listed = [c.tolist() for c in code]
-    in_bucket = np.full((len(code), WINDOW), BUCKETS, np.uint16)
-    for own, c in zip(in_bucket, code):
-        own[: len(c)] = in_buckets(c[:WINDOW])
+    maybe = np.zeros(min(MAX_SEED_TABLE, 1 << (SEED_ROOM * len(hashes)).bit_length()), bool)
+    maybe[hashes & np.uint64(len(maybe) - 1)] = True
+    items, listed = np.array([i for i, _ in held]), [c.tolist() for c in code]
+    met = np.unique(in_buckets(np.concatenate(code)))
+    columns = np.zeros(BUCKETS + 1, np.uint16)
+    columns[met] = np.arange(1, len(met) + 1)
+    own_columns = np.zeros((len(code), WINDOW), np.uint16)
+    for own, c in zip(own_columns, code):
+        own[: len(c)] = columns[in_buckets(c)]
     least = np.array([COMMON_WITH_ANSWER * len(c) for c in listed])
     places, code_places = [*map(_places, words)], [*map(_places, listed)]
     return Block(
-        items, words, places, listed, code_places, in_bucket, least,
+        items, words, places, listed, code_places, columns, len(met) + 1, own_columns, least,
         _unit(vectors).T.copy(), hashes[order], owner[order], maybe,
     )
 

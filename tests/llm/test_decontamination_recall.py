@@ -1,8 +1,10 @@
 """Passages of a benchmark in long texts, and of more items than are compared at once."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -123,3 +125,70 @@ def test_only_candidates_that_share_words_are_compared(monkeypatch):
     monkeypatch.setattr(decontam, "_may_leak", lambda ids, steps, text, window, *_: np.ones(len(window), bool))
     assert found == decontam.leaks_of(strange + mixed, block, weights)
     assert all(i in [leak[0] for leak in own] for i, own in enumerate(found[3:]))
+
+
+def words_at(draw, low, high, n):
+    return " ".join(f"w{draw.randrange(low, high)}" for _ in range(n))
+
+
+def test_shared_words_are_looked_up_among_those_of_the_benchmark(monkeypatch):
+    """What the bound needs grows with the words of the benchmark, and is the count of shared buckets."""
+    draw = random.Random(31)
+    items = decontam.passages([(i, words_at(draw, 0, 60, draw.randrange(8, 150))) for i in range(9)])
+    block = decontam._block(items, np.ones((decontam.BUCKETS, 4), np.float32))
+    found = [decontam.codes(words_at(draw, 0, 140, n)) for n in (4, 31, 32, 33, 64, 65, 97, 500, 3000)]
+    ids, steps = decontam._strides(found)
+    windows = np.maximum(1, steps - 1)
+    near = [(t, w, p) for t in range(len(found)) for w in range(windows[t]) for p in range(len(items)) if draw.random() < 0.8]
+    text, window, passage = map(np.array, zip(*near))
+
+    def shares(t, w, p):
+        around = set(decontam.in_buckets(found[t][max(0, w * 32 - 32) : w * 32 + 96]).tolist())
+        own = decontam.in_buckets(np.array(block.codes[p], np.uint64)).tolist()
+        return sum(b in around for b in own) >= decontam.COMMON_WITH_ANSWER * len(own)
+
+    true = [shares(*n) for n in near]
+    assert 0 < sum(true) < len(true)
+    tracemalloc.start()
+    may = decontam._may_leak(ids, steps, text, window, passage, block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert may.tolist() == true
+    assert peak < 2_000_000  # a table of all buckets has 33 kB a window, 4 MB here
+    monkeypatch.setattr(decontam, "COSINES", 400)
+    monkeypatch.setattr(decontam, "SHARED", 5)
+    assert decontam._may_leak(ids, steps, text, window, passage, block).tolist() == true
+
+
+def test_copied_runs_meet_in_all_windows_around_them():
+    draw = random.Random(32)
+    items = decontam.passages([(i, words_at(draw, 0, 30, draw.randrange(8, 150))) for i in range(9)])
+    block = decontam._block(items, np.ones((decontam.BUCKETS, 4), np.float32))
+    found = [words_at(draw, 0, 30, n).split() for n in (4, 5, 40, 97, 700)]
+    found += [[*words_at(draw, 50, 90, n).split(), *items[n % len(items)][1][:6], "end"] for n in (0, 27, 59, 91, 300)]
+    code = [decontam.codes(" ".join(words)) for words in found]
+    windows = np.maximum(1, decontam._strides(code)[1] - 1)
+
+    def runs(words):
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    true = {
+        (t, w, p)
+        for t, words in enumerate(found)
+        for w in range(windows[t])
+        for p, (_, passage) in enumerate(items)
+        if runs(words[max(0, w * 32 - 32) : w * 32 + 96]) & runs(passage)
+    }
+    own = decontam._seeded(code, block, windows)
+    assert isinstance(own, set) and own == true  # each once, however many runs a passage shares
+
+
+def test_groups_of_passages_are_cut_and_joined_as_columns():
+    values, ends = np.array([7, 8, 9, 65535, 1], np.uint16), np.array([2, 3, 5])
+    column = decontam._cut(values, ends)
+    assert column.to_pylist() == [values[:2].tobytes(), values[2:3].tobytes(), values[3:].tobytes()]
+    for at, n in ((0, 3), (1, 2), (1, 1), (2, 1), (3, 0)):
+        for own in (column.slice(at, n), column.slice(at, n).cast(pa.large_binary())):
+            joined, size = decontam._joined(own, np.uint16)
+            assert joined.tolist() == np.concatenate([[], *np.split(values, ends)[at : at + n]]).tolist()
+            assert size.tolist() == [2, 1, 2][at : at + n]
